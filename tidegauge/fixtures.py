@@ -16,7 +16,7 @@ _RIDE_TIMES = {
     "duckdb": "start_date + to_seconds(start_s) as start_t, start_date + to_seconds(start_s + dur_s) as end_t",
 }
 _TIME_TEXT = {"spark": "date_format({t}, 'yyyy-MM-dd HH:mm:ss')", "duckdb": "strftime({t}, '%Y-%m-%d %H:%M:%S')"}
-_MILLIS = {"spark": "unix_millis(cast(ts as timestamp))", "duckdb": "epoch_ms(ts)"}
+_MILLIS = {"spark": "unix_millis(cast(ts as timestamp))", "duckdb": "epoch_us(ts) // 1000"}
 
 VIEWS: dict[str, str] = {
     "weather_raw": """
@@ -95,7 +95,7 @@ from {events}""",
     "responses": "\nunion all\n".join(f"""
 select request_id, 'm{m}' as model, (request_id + {m}) % 5 <> 0 as processed,
   case when (request_id + {m}) % 7 = 0 then cast(null as int) else cast((request_id * {m + 1}) % 3 % 2 as int) end as result,
-  class as source, req_ts + (request_id * {31 * m}) % 200 as resp_ts
+  class as source, (request_id * {31 * m}) % 200 as latency, req_ts + (request_id * {31 * m}) % 200 as resp_ts
 from {{requests}} where request_id % 11 <> {m}""".strip() for m in (1, 2, 3)),
     "wine": """
 select l_orderkey * 10 + l_linenumber as seq,
@@ -106,8 +106,20 @@ select l_orderkey * 10 + l_linenumber as seq,
   cast(0.99 as double) + cast(l_suppkey % 14 as double) / cast(1000 as double) as density,
   cast(3 as double) + cast(l_linenumber as double) / cast(10 as double) as ph,
   cast(0.4 as double) + cast(l_partkey % 9 as double) / cast(10 as double) as sulphates,
-  cast(8.5 as double) + cast(l_orderkey % 60 as double) / cast(10 as double) as alcohol, 'wine' as data_type
+  cast(8.5 as double) + cast(l_orderkey % 60 as double) / cast(10 as double) as alcohol, 'wine' as data_type, l_linenumber as line, l_shipdate as ts
 from {lineitem}""",
+    "wine_lines": """
+select seq, case when seq % 83 = 0 then '7.4;0.7' else concat_ws(';', cast(fixed_acidity as varchar(30)),
+  cast(volatile_acidity as varchar(30)), cast(citric_acid as varchar(30)), cast(residual_sugar as varchar(30)),
+  cast(chlorides as varchar(30)), cast(free_sulfur_dioxide as varchar(30)), cast(total_sulfur_dioxide as varchar(30)),
+  cast(density as varchar(30)), cast(ph as varchar(30)), cast(sulphates as varchar(30)), cast(alcohol as varchar(30)), '5') end as value
+from {wine}""",
+    # Properties of many training runs, one line each, with comments between them.
+    "run_lines": """
+select concat('run', cast(user_id as varchar(20))) as run,
+  case when event_id % 5 = 0 then '# note = 1' when event_id % 7 = 0 then 'no assignment'
+  else concat('  ', event_type, ' = ', cast(event_id % 100 as varchar(10)), '=x ') end as value
+from {events}""",
     "pred_lines": """
 select o_orderkey as line_id, case when o_orderkey % 13 = 0 then 'oops' when o_orderkey % 17 = 0 then 'x,12'
   else concat(cast(o_orderkey as varchar(20)), ',', cast(o_custkey % 60 as varchar(10)), ',extra') end as value

@@ -25,27 +25,36 @@ def majority() -> Column:
     return F.when(mean < 0.5, F.lit(0)).when(mean >= 0.5, F.lit(1)).cast("int")
 
 
-def vote(responses: DataFrame, request: str = "request_id", decider: Column | None = None) -> DataFrame:
+def vote(responses: DataFrame, request: str = "request_id", decider: Column | None = None,
+         keep: list[str] | None = None, extra: list[Column] | None = None) -> DataFrame:
     """One decision per request from columns processed, result and source. `decider` is
-    an aggregate expression over those. Partial sums before the shuffle."""
+    an aggregate expression over those; `keep` are columns fixed per request. Partial
+    sums before the shuffle."""
     done = F.col("processed")
-    return responses.groupBy(request).agg(
+    return responses.groupBy(request, *(keep or [])).agg(
         F.coalesce(F.max(done), F.lit(False)).alias("processed"),
         F.max(F.when(done, F.col("source"))).alias("source"),
         (decider if decider is not None else majority()).alias("result"),
-        F.count_if(done).alias("votes"))
+        F.count_if(done).alias("votes"), *(extra or []))
 
 
-def vote_timeout(requests: DataFrame, responses: DataFrame, timeout_ms: Column | int,
-                 request: str = "request_id", decider: Column | None = None) -> DataFrame:
+def vote_timeout(requests: DataFrame, responses: DataFrame, timeout_ms: Column | int, expected: int,
+                 request: str = "request_id", decider: Column | None = None,
+                 keep: list[str] | None = None) -> DataFrame:
     """Votes from the responses that arrive within the timeout of their request; every
-    request gets a row. Columns: requests(request, req_ts), responses(request,
-    resp_ts, processed, result, source), times in milliseconds."""
+    request gets a row. A request is decided when its `expected`-th response is there,
+    otherwise when the timeout passes: that is its `duration`. Columns:
+    requests(request, req_ts), responses(request, resp_ts, processed, result, source),
+    times in milliseconds."""
     limit = F.lit(timeout_ms) if isinstance(timeout_ms, int) else timeout_ms
-    r = responses.withColumnRenamed(request, "_rid")
+    r = responses.select(F.col(request).alias("_rid"), "resp_ts", "processed", "result", "source")
+    q = requests.withColumn("_limit", limit.cast("bigint"))
     in_time = (F.col(request) == F.col("_rid")) & (F.col("resp_ts") >= F.col("req_ts")) & (
-        F.col("resp_ts") <= F.col("req_ts") + limit)
-    return vote(requests.join(r, in_time, "left"), request, decider)
+        F.col("resp_ts") <= F.col("req_ts") + F.col("_limit"))
+    out = vote(q.join(r, in_time, "left"), request, decider, [*(keep or []), "req_ts", "_limit"],
+               [F.count("resp_ts").alias("_got"), F.max("resp_ts").alias("_last")])
+    duration = F.when(F.col("_got") >= expected, F.col("_last") - F.col("req_ts")).otherwise(F.col("_limit"))
+    return out.withColumn("duration", duration).drop("_got", "_last", "_limit", "req_ts")
 
 
 def ensemble_stats(decisions: DataFrame, key: str = "data_type", duration: str = "duration") -> DataFrame:

@@ -27,9 +27,10 @@ def ordered_index(df: DataFrame, order: list[Column], position: str, name: str =
 
 
 def sliding_vector(df: DataFrame, keys: list[str], order: str, value: str, width: int,
-                   name: str = "vec", layout: BlockLayout | None = None) -> DataFrame:
-    """The last `width` values of each key, oldest first; rows with fewer values
-    before them are left out. `order` must be unique within a key.
+                   name: str = "vec", layout: BlockLayout | None = None,
+                   keep_short: bool = False) -> DataFrame:
+    """The last `width` values of each key, oldest first. Rows with fewer values before
+    them are left out, or get NULL with `keep_short`. `order` must be unique within a key.
 
     Each block is preceded by the key's last width-1 rows of earlier blocks. Those
     come from the last width-1 rows of every (key, block), which the per-group limit
@@ -40,7 +41,9 @@ def sliding_vector(df: DataFrame, keys: list[str], order: str, value: str, width
         rows = rows.unionByName(_lead_in(rows, keys, order, value, width - 1), allowMissingColumns=True)
     frame = blocks.in_block(keys, order).rowsBetween(-(width - 1), 0)
     rows = rows.withColumn(name, F.collect_list(value).over(frame))
-    return rows.where(~F.col("_lead_in") & (F.size(name) == width)).drop(BLOCK, "_lead_in")
+    rows = rows.where(~F.col("_lead_in")).drop(BLOCK, "_lead_in")
+    full = F.size(name) == width
+    return rows.withColumn(name, F.when(full, F.col(name))) if keep_short else rows.where(full)
 
 
 def _lead_in(rows: DataFrame, keys: list[str], order: str, value: str, n: int) -> DataFrame:

@@ -39,12 +39,12 @@ def fit_scaler(df: DataFrame, column: str, width: int, keys: list[str] | None =
 
 def anomaly_vectors(cpu: DataFrame, width: int, mean: float, std: float, key: str = "data_type",
                     order: str = "seq", version: str | None = None,
-                    layout: BlockLayout | None = None) -> DataFrame:
+                    layout: BlockLayout | None = None, keep_short: bool = False) -> DataFrame:
     """Sliding vectors of standardised samples. With `version`, a new model starts
     with an empty window (the window belongs to the model)."""
     keys = [key] if version is None else [key, version]
     z = cpu.withColumn("z", scalar.standardize("utilization", mean, std))
-    return ordered.sliding_vector(z, keys, order, "z", width, "vec", layout)
+    return ordered.sliding_vector(z, keys, order, "z", width, "vec", layout, keep_short)
 
 
 def fit_classifier(vectors: DataFrame, label: str = "class", max_iter: int = 20):

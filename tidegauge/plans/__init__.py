@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tidegauge.session import configure
 
-_AREAS = ["weather"]
+_AREAS = ["weather", "taxi", "serving", "streams"]
 
 
 def _configured(build):
