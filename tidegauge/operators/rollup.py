@@ -63,7 +63,7 @@ def daily_window(raw: DataFrame, time: str, delay: str | None = None) -> DataFra
     """The daily rollup by event-time window, so that a watermark can bound the
     state of the streaming form."""
     if delay:
-        raw = raw.withWatermark(time, delay)
+        raw = raw.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
     return calendar_rollup(raw, ["wsid", F.window(F.col(time), "1 day")], DAILY_METRICS,
                            {"precip": "one_hour_precip"})
 

@@ -218,7 +218,7 @@ QUERIES["vote"] = lambda s, d: ensemble.vote(view(s, d, "responses"))
 SQL["vote"] = duck(f"select request_id, {_VOTE} from responses group by request_id", "responses")
 
 
-def _in_time(timeout, source):
+def in_time_sql(timeout, source):
     return (f"vt as (select q.request_id, q.data_type, q.req_ts, {timeout} as lim, r.resp_ts, r.processed, r.result, r.source from {source} q "
             f"left join responses r on q.request_id = r.request_id and r.resp_ts >= q.req_ts and r.resp_ts <= q.req_ts + {timeout}), "
             f"dec as (select request_id, data_type, {_VOTE}, cast(case when count(resp_ts) >= 3 then max(resp_ts) - any_value(req_ts) "
@@ -227,7 +227,7 @@ def _in_time(timeout, source):
 
 QUERIES["vote_timeout"] = lambda s, d: ensemble.vote_timeout(
     view(s, d, "requests"), view(s, d, "responses"), 100, 3, keep=["data_type"])
-SQL["vote_timeout"] = duck(f"with {_in_time('100', 'requests')} select * from dec", "requests", "responses")
+SQL["vote_timeout"] = duck(f"with {in_time_sql('100', 'requests')} select * from dec", "requests", "responses")
 
 
 def _voted(s, d):
@@ -235,10 +235,10 @@ def _voted(s, d):
 
 
 QUERIES["vote_control"] = _voted
-SQL["vote_control"] = duck(f"with {_TIMEOUTS}, {_in_time('q.tmout', 'tm')} select * from dec", "requests", "responses", "controls")
+SQL["vote_control"] = duck(f"with {_TIMEOUTS}, {in_time_sql('q.tmout', 'tm')} select * from dec", "requests", "responses", "controls")
 QUERIES["ensemble_stats"] = lambda s, d: ensemble.ensemble_stats(_voted(s, d))
 SQL["ensemble_stats"] = duck(
-    f"with {_TIMEOUTS}, {_in_time('q.tmout', 'tm')} select data_type, cast(count(*) as bigint) as usage, "
+    f"with {_TIMEOUTS}, {in_time_sql('q.tmout', 'tm')} select data_type, cast(count(*) as bigint) as usage, "
     "cast(sum(duration) as bigint) as duration, min(duration) as min_duration, max(duration) as max_duration "
     "from dec where processed group by data_type", "requests", "responses", "controls")
 

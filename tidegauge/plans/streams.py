@@ -3,12 +3,12 @@ their batch forms."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tidegauge.fixtures import TABLES, VIEWS, _needs, _text, duck
 from tidegauge.operators import rollup
 from tidegauge.plans import serving, taxi, weather
 from tidegauge.plans.common import rounded
+from tidegauge.session import shared_dir
+from tidegauge.sinks.tables import UpsertTable
 from tidegauge.sources import streams
 from tidegauge.streaming import change_rollup, model_join, runner, travel_time, voting
 
@@ -19,8 +19,8 @@ SQL = {}
 def stream_view(spark, sf_dir, name):
     """A fixture view over the tables read as streams."""
     if name in TABLES:
-        path = f"{sf_dir}/{name}.parquet"
-        return streams.files(spark, path, spark.read.parquet(path).schema)
+        schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+        return streams.files(spark, sf_dir, schema, pathGlobFilter=f"{name}.parquet")
     return spark.sql(_text(name, "spark"), **{n: stream_view(spark, sf_dir, n) for n in _needs(name)})
 
 
@@ -41,3 +41,28 @@ QUERIES["stream_asof_keyed"] = lambda s, d: runner.replay(model_join.keyed_versi
     stream_view(s, d, "cpu").select("seq", "data_type"), stream_view(s, d, "published"), "data_type", "seq", "model"),
     "asof_keyed")
 SQL["stream_asof_keyed"] = serving.SQL["asof_published"]
+
+# A request is out when all its responses are there or the watermark has passed its
+# timeout, so the newest undecided requests stay in the state.
+_DELAY_MS = 1000
+QUERIES["stream_vote_timeout"] = lambda s, d: runner.replay(
+    voting.vote_stream(stream_view(s, d, "requests"), stream_view(s, d, "responses"), 3, 100), "vote_timeout")
+SQL["stream_vote_timeout"] = duck(
+    f"with {serving.in_time_sql('100', 'requests')}, "
+    "newest as (select max(t) as t from (select max(req_ts) as t from requests union all select max(resp_ts) from responses) u), "
+    "q as (select request_id, any_value(req_ts) as req_ts, count(resp_ts) as got from vt group by request_id) "
+    "select dec.* exclude (data_type) from dec join q using (request_id), newest "
+    f"where got >= 3 or q.req_ts + 101 <= newest.t - {_DELAY_MS}", "requests", "responses")
+
+
+def _stream_calendar(s, d):
+    """Update mode: each micro-batch replaces the rows of the keys it touched."""
+    table = UpsertTable(s, shared_dir(s, "daily-calendar"), ["wsid", "year", "month", "day"])
+    q = runner.start(rollup.daily_calendar(stream_view(s, d, "weather_raw")), table.write_batch,
+                     shared_dir(s, "daily-calendar-checkpoint"), "daily_calendar", "update", available_now=True)
+    q.awaitTermination()
+    return rounded(table.read())
+
+
+QUERIES["stream_daily_calendar"] = _stream_calendar
+SQL["stream_daily_calendar"] = weather.SQL["daily_calendar"]

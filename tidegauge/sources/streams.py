@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_BYTES = "1g"
+MAX_BYTES = 1 << 30
 
 
 def kafka(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
@@ -22,7 +22,7 @@ def kafka(spark: SparkSession, servers: str, topic: str, starting: str = "latest
 
 
 def files(spark: SparkSession, path: str, schema, format: str = "parquet", max_files: int | None = None,
-          max_bytes: str | None = MAX_BYTES, **options) -> DataFrame:
+          max_bytes: int | None = MAX_BYTES, **options) -> DataFrame:
     """New files of a folder, oldest first. A paced replay is `max_files` together with
     the trigger interval of the query."""
     reader = spark.readStream.format(format).schema(schema)

@@ -23,15 +23,17 @@ class CurrentVersion(StatefulProcessor):
         self.current = handle.getValueState("current", "version string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        b = pd.concat(list(rows)).sort_values([self.order, "_version"], ascending=[True, False], kind="stable")
+        b = pd.concat(list(rows)).sort_values([self.order, "is_version"], ascending=[True, False], kind="stable")
         before = self.current.get()[0] if self.current.exists() else None
-        seen = b[self.payload].where(b["_version"]).ffill()
+        seen = b[self.payload].astype(object).where(b["is_version"].to_numpy(dtype=bool)).ffill()
         if before is not None:
             seen = seen.fillna(before)
-        if len(seen) and isinstance(seen.iloc[-1], str):
-            self.current.update((seen.iloc[-1],))
-        out = b.assign(**{self.payload: seen.where(seen.notna(), None)})
-        yield out.loc[~b["_version"], self.output]
+        newest = seen.iloc[-1]
+        if isinstance(newest, str):
+            self.current.update((newest,))
+        out = b.assign(**{self.payload: seen.where(seen.notna(), None).astype(object)})
+        yield out.loc[~b["is_version"].to_numpy(dtype=bool), self.output].astype({
+            c: object for c in self.output if not pd.api.types.is_numeric_dtype(out[c])})
 
     def close(self) -> None:
         pass
@@ -40,8 +42,8 @@ class CurrentVersion(StatefulProcessor):
 def keyed_versions_stream(data: DataFrame, versions: DataFrame, key: str, order: str, payload: str) -> DataFrame:
     """Stateful join of two streams per key. `versions` has key, order and payload."""
     fields = [f for f in data.schema.fields]
-    d = data.withColumn(payload, F.lit(None).cast("string")).withColumn("_version", F.lit(False))
-    v = versions.select(key, order, payload).withColumn("_version", F.lit(True))
+    d = data.withColumn(payload, F.lit(None).cast("string")).withColumn("is_version", F.lit(False))
+    v = versions.select(key, order, payload).withColumn("is_version", F.lit(True))
     both = d.unionByName(v, allowMissingColumns=True)
     output = [*data.columns, payload]
     schema = T.StructType([*fields, T.StructField(payload, T.StringType())])

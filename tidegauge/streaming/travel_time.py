@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidegauge.operators.taxi import GROUP, ride_features
@@ -40,7 +41,8 @@ class TravelTime(StatefulProcessor):
 def predict_stream(rides: DataFrame, strict: bool = False, delay: str = MAX_DELAY) -> DataFrame:
     """Streaming form of operators.taxi.predict. The watermark marks progress; no row
     is dropped as late."""
-    features = ride_features(rides, strict).withWatermark("event_time", delay)
+    features = (ride_features(rides, strict).withColumn("event_time", F.col("event_time").cast("timestamp"))
+                .withWatermark("event_time", delay))
     return features.groupBy(*GROUP).transformWithStateInPandas(
         statefulProcessor=TravelTime(), outputStructType="ride_id bigint, minutes int",
         outputMode="Append", timeMode="None")
