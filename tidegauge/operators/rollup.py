@@ -147,7 +147,8 @@ def daily_change(raw: DataFrame, order: str = "seq", trigger: list[str] | None =
 
 def monthly_change(daily: DataFrame, order: str = "last_order", trigger: list[str] | None = None,
                    layout: BlockLayout | None = None) -> DataFrame:
-    """Change-triggered monthly rollup of daily means and precipitation sums."""
+    """Change-triggered monthly rollup of daily means and precipitation sums. `daily` is
+    read several times: pass a stored table (see session.materialize)."""
     carrier = daily.select("wsid", "year", "month", F.col(order).alias("seq"), "mean_temp",
                            "mean_wind", "mean_pressure", "precip")
     return change_rollup(carrier, "wsid", "seq", trigger or ["month"], ["year", "month"],

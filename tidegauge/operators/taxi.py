@@ -51,10 +51,9 @@ def predict(features: DataFrame, layout: BlockLayout | None = None) -> DataFrame
     sums = _sums()
     w = blocks.in_block(GROUP, "event_time", F.col("is_start").desc(), "ride_id").rowsBetween(
         Window.unboundedPreceding, -1)
-    run = rows
-    for name, value in sums.items():
-        run = run.withColumn(name, F.coalesce(F.sum(value).over(w), F.lit(0)))
-    run = run.where(F.col("is_start"))
+    # One window operator for the three sums.
+    run = rows.withColumns({k: F.sum(v).over(w) for k, v in sums.items()}).where(F.col("is_start"))
+    run = run.fillna(0, list(sums))
     if not layout.single:
         per_block = rows.groupBy(*GROUP, BLOCK).agg(*[F.sum(v).alias(f"_{k}") for k, v in sums.items()])
         earlier = blocks.before(GROUP)

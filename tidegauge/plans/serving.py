@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.fixtures import duck, view
 from tidegauge.functions import parse, scalar
-from tidegauge.operators import asof, ensemble, ordered, scoring, timeseries, training
+from tidegauge.operators import asof, blocks, ensemble, scoring, timeseries, training
 from tidegauge.plans import model_specs as specs
 from tidegauge.plans.common import r, rounded
 from tidegauge.session import shared_dir
@@ -153,7 +153,9 @@ _REGISTRY = [(m, "logistic", json.dumps({"weights": w, "intercept": b}).encode()
 def _serve(s, d, keep=("seq", "data_type")):
     cpu = _cpu(s, d).withColumn("data_type", scalar.default_key("data_type"))
     with_model = asof.asof_join(cpu, view(s, d, "models"), "seq", "seq", ["model"], ["data_type"])
-    vectors = training.anomaly_vectors(with_model, _W, _MEAN, _STD, version="model", keep_short=True)
+    # The layout comes from the samples alone, not from the joined rows.
+    layout = blocks.plan_blocks(cpu, "seq")
+    vectors = training.anomaly_vectors(with_model, _W, _MEAN, _STD, version="model", layout=layout, keep_short=True)
     return scoring.serving_rows(scoring.score_dispatch(vectors, _REGISTRY, name="result"), list(keep))
 
 

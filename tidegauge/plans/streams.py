@@ -42,17 +42,26 @@ QUERIES["stream_asof_keyed"] = lambda s, d: runner.replay(model_join.keyed_versi
     "asof_keyed")
 SQL["stream_asof_keyed"] = serving.SQL["asof_published"]
 
-# A request is out when all its responses are there or the watermark has passed its
-# timeout, so the newest undecided requests stay in the state.
-_DELAY_MS = 1000
-QUERIES["stream_vote_timeout"] = lambda s, d: runner.replay(
-    voting.vote_stream(stream_view(s, d, "requests"), stream_view(s, d, "responses"), 3, 100), "vote_timeout")
-SQL["stream_vote_timeout"] = duck(
-    f"with {serving.in_time_sql('100', 'requests')}, "
-    "newest as (select max(t) as t from (select max(req_ts) as t from requests union all select max(resp_ts) from responses) u), "
-    "q as (select request_id, any_value(req_ts) as req_ts, count(resp_ts) as got from vt group by request_id) "
-    "select dec.* exclude (data_type) from dec join q using (request_id), newest "
-    f"where got >= 3 or q.req_ts + 101 <= newest.t - {_DELAY_MS}", "requests", "responses")
+# A request is out when the watermark has passed its timeout (the early form: or when
+# all its responses are there), so the newest requests stay in the state.
+_DELAY_MS, _LIMIT = 1000, 100
+
+
+def _votes(form, name):
+    return lambda s, d: runner.replay(
+        form(stream_view(s, d, "requests"), stream_view(s, d, "responses"), 3, _LIMIT), name)
+
+
+_NEWEST = ("newest as (select max(t) as t from (select max(req_ts) as t from requests union all "
+           "select max(resp_ts) from responses) u), "
+           "q as (select request_id, any_value(req_ts) as req_ts, count(resp_ts) as got from vt group by request_id) "
+           "select dec.* exclude (data_type) from dec join q using (request_id), newest where ")
+_VOTES = f"with {serving.in_time_sql(str(_LIMIT), 'requests')}, {_NEWEST}"
+QUERIES["stream_vote_timeout"] = _votes(voting.vote_stream, "vote_timeout")
+SQL["stream_vote_timeout"] = duck(_VOTES + f"q.req_ts + {_LIMIT} + 1 <= newest.t - {_DELAY_MS}", "requests", "responses")
+QUERIES["stream_vote_early"] = _votes(voting.vote_stream_early, "vote_early")
+SQL["stream_vote_early"] = duck(
+    _VOTES + f"got >= 3 or q.req_ts + {_LIMIT} + 1 <= newest.t - {_DELAY_MS}", "requests", "responses")
 
 
 def _stream_calendar(s, d):

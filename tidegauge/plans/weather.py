@@ -8,6 +8,8 @@ from tidegauge.fixtures import duck, view
 from tidegauge.functions import parse
 from tidegauge.operators import enrich, ordered, rollup, timeseries
 from tidegauge.plans.common import five_sql, plain_five, r, rounded
+from tidegauge.session import materialize
+from tidegauge.sources import wire
 
 QUERIES = {}
 SQL = {}
@@ -66,7 +68,8 @@ SQL["daily_change_by_date"] = SQL["daily_change"].replace(
     "lag(day) over (partition by wsid order by seq) <> day",
     "lag(make_date(year, month, day)) over (partition by wsid order by seq) <> make_date(year, month, day)")
 
-QUERIES["monthly_change"] = lambda s, d: rounded(rollup.monthly_change(rollup.daily_change(_raw(s, d))))
+QUERIES["monthly_change"] = lambda s, d: rounded(rollup.monthly_change(
+    materialize(rollup.daily_change(_raw(s, d)), "daily-change")))
 SQL["monthly_change"] = duck(
     f"""with {_RUNS}, {_DAILY_RUNS},
 mflag as (select *, case when lag(month) over (partition by wsid order by last_order) <> month then 1 else 0 end as mchg from daily),
@@ -289,3 +292,16 @@ SQL["panel_pivot"] = duck(
     f"with {_TIMED} select {_TIME_TEXT}, " + ", ".join(
         r(f"avg(temperature) filter (where wsid = 'S{i}')", f"S{i}") for i in range(4))
     + " from t where t.time >= (select max(time) from t) - interval 1 day group by t.time", "weather_raw")
+
+
+# Records as protobuf bytes, some of them cut short, decoded again.
+def _wire(s, d):
+    raw = _raw(s, d)
+    sent = raw.select("seq", wire.to_wire(raw, "WeatherRecord", wire.WEATHER_WIRE).alias("value"))
+    broken = F.when(F.col("seq") % 41 == 0, F.lit(b"\x0a\xff")).otherwise(F.col("value"))
+    return rounded(wire.decode_weather(sent.withColumn("value", broken)))
+
+
+if wire.available():
+    QUERIES["weather_wire"] = _wire
+    SQL["weather_wire"] = duck(f"select {_ALL} from weather_raw where seq % 41 <> 0", "weather_raw")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results or are needed by the stateful processors. They
 # are all runtime settings, so they can be applied to a session made elsewhere.
@@ -51,3 +51,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="tidegauge-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{os.urandom(6).hex()}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back, so that
+    several uses compute it once and a lost executor does not lose it."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

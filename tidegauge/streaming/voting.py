@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tidegauge.operators.ensemble import vote
+
 OUTPUT = "request_id bigint, processed boolean, source int, result int, votes bigint, duration bigint"
 _RESPONSE = "resp_ts bigint, processed boolean, result int, source int"
 
@@ -80,9 +82,31 @@ class Correlate(StatefulProcessor):
 
 
 def vote_stream(requests: DataFrame, responses: DataFrame, expected: int, timeout_ms: int = 100,
+                delay: str = "1 second", max_timeout_ms: int | None = None, decider: Column | None = None) -> DataFrame:
+    """Streaming form of operators.ensemble.vote_timeout on event time: an interval join
+    of the two streams, then one aggregate per request, both in the JVM. A decision is
+    out when the watermark has passed its timeout. Requests carry req_ts and may carry
+    their own `timeout`, up to `max_timeout_ms`; times are milliseconds."""
+    bound = max_timeout_ms or timeout_ms
+    own = F.col("timeout") if "timeout" in requests.columns else F.lit(timeout_ms)
+    q = requests.select("request_id", "req_ts", F.least(own, F.lit(bound)).cast("bigint").alias("_limit"),
+                        F.timestamp_millis("req_ts").alias("req_time")).withWatermark("req_time", delay)
+    r = responses.select(F.col("request_id").alias("_rid"), "resp_ts", "processed", "result", "source",
+                         F.timestamp_millis("resp_ts").alias("resp_time")).withWatermark("resp_time", delay)
+    in_time = ((F.col("request_id") == F.col("_rid")) & (F.col("resp_time") >= F.col("req_time"))
+               & (F.col("resp_time") <= F.col("req_time") + F.expr(f"INTERVAL {bound} MILLISECONDS"))
+               & (F.col("resp_ts") <= F.col("req_ts") + F.col("_limit")))
+    out = vote(q.join(r, in_time, "leftOuter"), "request_id", decider, ["req_time", "req_ts", "_limit"],
+               [F.count("resp_ts").alias("_got"), F.max("resp_ts").alias("_last")])
+    duration = F.when(F.col("_got") >= expected, F.col("_last") - F.col("req_ts")).otherwise(F.col("_limit"))
+    return out.select("request_id", "processed", "source", "result", "votes", duration.alias("duration"))
+
+
+def vote_stream_early(requests: DataFrame, responses: DataFrame, expected: int, timeout_ms: int = 100,
                 delay: str = "1 second", decider=decide) -> DataFrame:
-    """Streaming form of operators.ensemble.vote_timeout on event time. Requests carry
-    req_ts and may carry their own `timeout`; times are milliseconds."""
+    """As `vote_stream`, but a decision is out as soon as the expected number of
+    responses is there. State and timers are kept in Python per request, so use it
+    where latency matters more than throughput."""
     own = F.col("timeout") if "timeout" in requests.columns else F.lit(timeout_ms)
     q = requests.select("request_id", F.lit(True).alias("is_request"), "req_ts", own.cast("bigint").alias("timeout"),
                         F.timestamp_millis("req_ts").alias("event_time"))
