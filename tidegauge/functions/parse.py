@@ -37,13 +37,21 @@ def _all_present(columns: list[str]) -> Column:
     return valid
 
 
+def _evaluated_once(df: DataFrame, columns: list[Column]) -> DataFrame:
+    """Add columns that are computed once per row. A filter on an ordinary projection
+    is pushed below it and computes the filtered columns a second time; a generator
+    of one row stops that."""
+    return df.select("*", F.inline(F.array(F.struct(*columns))))
+
+
 def parse_weather(lines: DataFrame, column: str = "value") -> DataFrame:
     """14 typed columns from 13 comma-separated fields; the sky text is empty.
     Other columns of `lines` are kept."""
-    fields = F.split(F.col(column), ",")
+    fields = F.col("_f")
     typed = [F.trim(F.get(fields, F.lit(i))).try_cast(kind).alias(name)
              for i, (name, kind) in enumerate(WEATHER_CSV)]
-    out = lines.select("*", *typed, (F.size(fields) >= len(WEATHER_CSV)).alias("_arity"))
+    out = _evaluated_once(lines.withColumn("_f", F.split(F.col(column), ",")),
+                          [*typed, (F.size(fields) >= len(WEATHER_CSV)).alias("_arity")])
     out = out.withColumn("sky_condition_text", F.lit(""))
     valid = F.col("_arity") & _all_present([n for n, _ in WEATHER_CSV])
     keep = [c for c in lines.columns if c not in WEATHER_COLUMNS]
@@ -53,34 +61,35 @@ def parse_weather(lines: DataFrame, column: str = "value") -> DataFrame:
 def parse_taxi(lines: DataFrame, column: str = "value") -> DataFrame:
     """Taxi events from nine comma-separated fields. END records carry their two
     times in reverse order; empty coordinates become 0."""
-    f = F.split(F.col(column), ",")
+    f = F.col("_f")
 
     def field(i: int) -> Column:
         return F.get(f, F.lit(i))
 
-    def when(i: int) -> Column:
+    def time(i: int) -> Column:
         return F.try_to_timestamp(field(i), F.lit(TIME_PATTERN)).cast("timestamp_ntz")
 
     def coord(i: int) -> Column:
         return F.when(field(i) == "", F.lit(0.0).cast("float")).otherwise(field(i).try_cast("float"))
 
-    is_start = F.when(field(1) == "START", F.lit(True)).when(field(1) == "END", F.lit(False))
-    out = lines.select(
-        *[c for c in lines.columns],
+    out = _evaluated_once(lines.withColumn("_f", F.split(F.col(column), ",")), [
         field(0).try_cast("bigint").alias("ride_id"),
-        is_start.alias("is_start"),
-        F.when(is_start, when(2)).otherwise(when(3)).alias("start_t"),
-        F.when(is_start, when(3)).otherwise(when(2)).alias("end_t"),
+        F.when(field(1) == "START", F.lit(True)).when(field(1) == "END", F.lit(False)).alias("is_start"),
+        time(2).alias("_own"), time(3).alias("_other"),
         coord(4).alias("start_lon"), coord(5).alias("start_lat"),
         coord(6).alias("end_lon"), coord(7).alias("end_lat"),
         field(8).try_cast("smallint").alias("passenger_cnt"),
-        (F.size(f) == 9).alias("_arity"),
-    )
-    typed = ["ride_id", "is_start", "start_t", "end_t", "start_lon", "start_lat",
-             "end_lon", "end_lat", "passenger_cnt"]
-    event_time = F.when(F.col("is_start"), F.col("start_t")).otherwise(F.col("end_t"))
-    return out.select(*lines.columns, *typed, event_time.alias("event_time"),
-                      (F.col("_arity") & _all_present(typed)).alias("is_valid"))
+        (F.size(f) == 9).alias("_arity")])
+    start = F.col("is_start")
+    own, other = F.col("_own"), F.col("_other")
+    valid = F.col("_arity") & _all_present([
+        "ride_id", "is_start", "_own", "_other", "start_lon", "start_lat", "end_lon", "end_lat", "passenger_cnt"])
+    # The own time of an event is the first of the two; it is the event time.
+    return out.select(*lines.columns, "ride_id", "is_start",
+                      F.when(start, own).otherwise(other).alias("start_t"),
+                      F.when(start, other).otherwise(own).alias("end_t"),
+                      "start_lon", "start_lat", "end_lon", "end_lat", "passenger_cnt",
+                      own.alias("event_time"), valid.alias("is_valid"))
 
 
 def format_taxi(rides: DataFrame) -> DataFrame:
@@ -101,25 +110,27 @@ def format_taxi(rides: DataFrame) -> DataFrame:
 
 def parse_prediction(lines: DataFrame, column: str = "value") -> DataFrame:
     """`ride id, minutes`; extra fields are ignored."""
-    f = F.split(F.col(column), ",")
-    out = lines.select("*", F.trim(F.get(f, F.lit(0))).try_cast("bigint").alias("ride_id"),
-                       F.trim(F.get(f, F.lit(1))).try_cast("int").alias("minutes"))
+    f = F.col("_f")
+    out = _evaluated_once(lines.withColumn("_f", F.split(F.col(column), ",")), [
+        F.trim(F.get(f, F.lit(0))).try_cast("bigint").alias("ride_id"),
+        F.trim(F.get(f, F.lit(1))).try_cast("int").alias("minutes")]).drop("_f")
     return out.withColumn("is_valid", _all_present(["ride_id", "minutes"]))
 
 
 def parse_wine(lines: DataFrame, column: str = "value") -> DataFrame:
     """Eleven features from a `;`-separated line; the quality label is dropped."""
-    f = F.split(F.col(column), ";")
+    f = F.col("_f")
     typed = [F.trim(F.get(f, F.lit(i))).try_cast("double").alias(n)
              for i, n in enumerate(WINE_FEATURES)]
-    out = lines.select("*", *typed).withColumn("data_type", F.lit("wine"))
+    out = _evaluated_once(lines.withColumn("_f", F.split(F.col(column), ";")), typed).drop("_f")
+    out = out.withColumn("data_type", F.lit("wine"))
     return out.withColumn("is_valid", _all_present(WINE_FEATURES))
 
 
 def parse_json(lines: DataFrame, schema: str, required: list[str], column: str = "value") -> DataFrame:
     """JSON records by a declared schema; `required` fields must be present."""
     m = F.from_json(F.col(column), schema, {"mode": "PERMISSIVE"})
-    out = lines.withColumn("_m", m).select(*lines.columns, "_m.*")
+    out = _evaluated_once(lines, [m.alias("_m")]).select(*lines.columns, "_m.*")
     return out.withColumn("is_valid", _all_present(required))
 
 

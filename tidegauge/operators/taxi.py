@@ -68,6 +68,17 @@ def predict(features: DataFrame, layout: BlockLayout | None = None) -> DataFrame
 
 
 def path_traffic(rides: DataFrame) -> DataFrame:
-    """Rides crossing each grid cell on the straight way; counted before the shuffle."""
-    cells = geo.path_cells("start_lon", "start_lat", "end_lon", "end_lat")
-    return rides.select(F.explode(cells).alias("cell")).groupBy("cell").agg(F.count("*").alias("rides"))
+    """Rides crossing each grid cell on the straight way (see geo.path_cells), as steps
+    rather than arrays so that it stays in generated code; counted before the shuffle."""
+    x1, y1 = geo.grid_x("start_lon"), geo.grid_y("start_lat")
+    ends = rides.select(x1.alias("x"), y1.alias("y"), (geo.grid_x("end_lon") - x1).alias("dx"),
+                        (geo.grid_y("end_lat") - y1).alias("dy"))
+    steps = F.greatest(F.abs(F.col("dx")), F.abs(F.col("dy")))
+    walk = (ends.withColumn("n", steps).withColumn("span", F.greatest(F.col("n"), F.lit(1)).cast("double"))
+            .select("*", F.explode(F.sequence(F.lit(0), F.col("n"))).alias("i")))
+
+    def at(base: str, delta: str):
+        return F.col(base) + F.floor(F.col(delta) * F.col("i") / F.col("span") + F.lit(0.5)).cast("int")
+
+    return (walk.select((at("x", "dx") + at("y", "dy") * F.lit(geo.GRID_X)).alias("cell"))
+            .groupBy("cell").agg(F.count("*").alias("rides")))
