@@ -27,10 +27,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int | str = "*", app: str = "tidegauge",
-                  shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+                  shuffle_partitions: int = 8, memory: str = "8g",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """A single-machine session for tests and benchmarks. On a cluster, make the
     session with spark-submit and pass it to `configure`."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -38,19 +39,24 @@ def local_session(cores: int | str = "*", app: str = "tidegauge",
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.python.unix.domain.socket.enabled", "true")
-        .getOrCreate()
     )
+    spark = builder.config(map=extra or {}).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path below the cluster's checkpoint folder. Only where the session
-    names none (tests, one machine) is a temporary folder chosen and set."""
+    """A new path below the folder the cluster names in spark.checkpoint.dir. Only where
+    the session names none (tests, one machine) is a temporary folder used instead."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tidegauge-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="tidegauge-")
+        root = _LOCAL_ROOTS[app]
     return f"{root.rstrip('/')}/{name}-{os.urandom(6).hex()}"
 
 
