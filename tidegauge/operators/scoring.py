@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions import pmml
 from tidegauge.operators import training
 
+_LOG = logging.getLogger(__name__)
+
 Factory = Callable[[bytes, list[str]], Column]
 
 
@@ -23,9 +28,6 @@ def _network(data: bytes, columns: list[str]) -> Column:
     """A dense network given as JSON: feature columns, layers of weights (inputs x
     outputs) and biases, activation per layer. The class is the position of the
     largest output."""
-    import numpy as np
-    import pandas as pd
-
     p = json.loads(bytes(data))
     layers = [(np.array(x["weights"], dtype=float), np.array(x["bias"], dtype=float), x.get("activation", "relu"))
               for x in p["layers"]]
@@ -60,6 +62,7 @@ def compile_model(model_type: str, data: bytes, columns: list[str],
     try:
         return factory(data, columns)
     except Exception:  # noqa: BLE001 - a broken model is ignored, the stream goes on
+        _LOG.warning("model of type %s cannot be used", model_type, exc_info=True)
         return None
 
 

@@ -205,7 +205,7 @@ def network_pmml() -> str:
                 f"<NeuralInputs>{inputs}</NeuralInputs>{layers}<NeuralOutputs>{outputs}</NeuralOutputs></NeuralNetwork>", CLASSES)
 
 
-def network_sql(source: str, key: str) -> str:
+def network_sql(source: str, key: str, classes=CLASSES) -> str:
     ctes, names = [], list(WINE_FEATURES)
     previous = source
     for n in range(len(NETWORK_LAYERS) - 1):
@@ -217,7 +217,7 @@ def network_sql(source: str, key: str) -> str:
             outs.append(f"{z} as h{n}_{j}")
         ctes.append(f"l{n} as (select {key}, {', '.join(outs)} from {previous})")
         previous, names = f"l{n}", [f"h{n}_{j}" for j in range(NETWORK_LAYERS[n + 1])]
-    labels = "[" + ", ".join(f"{float(c)}::double" for c in CLASSES) + "]"
+    labels = "[" + ", ".join(f"{float(c)}::double" for c in classes) + "]"
     p = "[" + ", ".join(names) + "]"
     return (f"with {', '.join(ctes)}, o as (select {key}, {p} as p from {previous}) "
             f"select {key}, {labels}[list_position(p, list_max(p))] as score from o")

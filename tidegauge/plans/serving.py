@@ -121,13 +121,17 @@ SQL["score_mlp"] = duck(specs.network_sql("wine", "seq"), "wine")
 def _network_json() -> str:
     layers = [{"weights": [[specs.weight(n, i, j) for j in range(specs.NETWORK_LAYERS[n + 1])]
                            for i in range(specs.NETWORK_LAYERS[n])],
-               "bias": [specs.bias(n, j) for j in range(specs.NETWORK_LAYERS[n + 1])], "activation": "logistic"}
+               "bias": [specs.bias(n, j) for j in range(specs.NETWORK_LAYERS[n + 1])],
+               "activation": "logistic" if n < len(specs.NETWORK_LAYERS) - 2 else "identity"}
               for n in range(len(specs.NETWORK_LAYERS) - 1)]
     return json.dumps({"features": parse.WINE_FEATURES, "layers": layers})
 
 
-# Inputs are 32-bit floats here, so a class at a boundary may differ from 64-bit SQL.
+# Inputs are 32-bit floats here, and the result is the position of the class.
 QUERIES["score_network"] = _scored("network", _network_json)
+_SINGLE = ("(select seq, " + ", ".join(f"cast(cast({c} as float) as double) as {c}" for c in parse.WINE_FEATURES)
+           + " from wine) w")
+SQL["score_network"] = duck(specs.network_sql(_SINGLE, "seq", range(len(specs.CLASSES))), "wine")
 
 
 def _dispatch(s, d):
