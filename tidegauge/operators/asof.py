@@ -78,7 +78,8 @@ def _by_block(data, versions, order, payload, keys, layout):
     of its key's earlier blocks through one summary row per block."""
     version = F.struct(*payload)
     d = data.withColumn("_vo", blocks.position(data, order))
-    layout = layout or blocks.plan_blocks(d, "_vo")
+    # Both sides count: a burst of versions is cut as well as a burst of records.
+    layout = layout or blocks.plan_blocks(d.select("_vo").union(versions.select("_vo")), "_vo")
     d = layout.assign(d, "_vo").withColumn("_version", F.lit(False))
     v = _distinct_versions(versions, keys, payload)
     v = layout.assign(v.withColumn("_p", version).drop(*payload), "_vo").withColumn("_version", F.lit(True))

@@ -47,14 +47,18 @@ def vote_timeout(requests: DataFrame, responses: DataFrame, timeout_ms: Column |
     requests(request, req_ts), responses(request, resp_ts, processed, result, source),
     times in milliseconds."""
     limit = F.lit(timeout_ms) if isinstance(timeout_ms, int) else timeout_ms
-    r = responses.select(F.col(request).alias("_rid"), "resp_ts", "processed", "result", "source")
-    q = requests.withColumn("_limit", limit.cast("bigint"))
-    in_time = (F.col(request) == F.col("_rid")) & (F.col("resp_ts") >= F.col("req_ts")) & (
-        F.col("resp_ts") <= F.col("req_ts") + F.col("_limit"))
-    out = vote(q.join(r, in_time, "left"), request, decider, [*(keep or []), "req_ts", "_limit"],
-               [F.count("resp_ts").alias("_got"), F.max("resp_ts").alias("_last")])
+    q = requests.select(F.col(request).alias("_rid"), "req_ts", limit.cast("bigint").alias("_limit"), *(keep or []))
+    # The responses are the split side of an inner join, so AQE can divide a request
+    # with very many of them; the votes are summed before they meet the requests again.
+    in_time = ((F.col(request) == F.col("_rid")) & (F.col("resp_ts") >= F.col("req_ts"))
+               & (F.col("resp_ts") <= F.col("req_ts") + F.col("_limit")))
+    votes = vote(responses.select(request, "resp_ts", "processed", "result", "source")
+                 .join(q.select("_rid", "req_ts", "_limit"), in_time), request, decider, None,
+                 [F.count("resp_ts").alias("_got"), F.max("resp_ts").alias("_last")])
+    out = q.withColumnRenamed("_rid", request).join(votes, request, "left")
     duration = F.when(F.col("_got") >= expected, F.col("_last") - F.col("req_ts")).otherwise(F.col("_limit"))
-    return out.withColumn("duration", duration).drop("_got", "_last", "_limit", "req_ts")
+    return out.select(request, *(keep or []), F.coalesce("processed", F.lit(False)).alias("processed"), "source",
+                      "result", F.coalesce("votes", F.lit(0)).cast("bigint").alias("votes"), duration.alias("duration"))
 
 
 def ensemble_stats(decisions: DataFrame, key: str = "data_type", duration: str = "duration") -> DataFrame:

@@ -1,10 +1,12 @@
-"""Streaming sources. Every reader bounds what one micro-batch may hold."""
+"""Streaming sources. Every reader bounds what one micro-batch may hold: that bounds
+the rows of a key which a stateful processor sorts at once. Raise `max_bytes` for
+aggregates, joins and the per-batch forms, which have no such limit."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_BYTES = 1 << 30
+MAX_BYTES = 256 << 20
 
 
 def kafka(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
