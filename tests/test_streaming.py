@@ -178,3 +178,44 @@ def test_row_writer_and_points(spark, tmp_path):
                      str(tmp_path / "cp2"), "points", available_now=True)
     q.awaitTermination()
     assert points.read_points(spark, str(tmp_path / "p")).count() == 6
+
+
+def test_daily_and_monthly_by_batches_with_a_repeated_batch(spark, tmp_path):
+    from tidegauge.streaming import incremental
+
+    raw = view(spark, SF_DIR, "weather_raw")
+    deliver(raw, "seq", str(tmp_path / "in"), 5)
+    daily = UpsertTable(spark, str(tmp_path / "daily"), ["wsid", "last_order"])
+    monthly = UpsertTable(spark, str(tmp_path / "monthly"), ["wsid", "last_order"])
+    to_monthly = incremental.monthly_change_batches(spark, str(tmp_path / "m"), monthly.write_batch)
+
+    def write(closed, batch_id):
+        daily.write_batch(closed, batch_id)
+        to_monthly(spark.read.parquet(f"{daily.path}/batch={batch_id}"), batch_id)
+
+    step = incremental.daily_change_batches(spark, str(tmp_path / "d"), write)
+
+    def twice(batch, batch_id):
+        step(batch, batch_id)
+        if batch_id == 2:
+            step(batch, batch_id)
+
+    q = runner.start(streams.files(spark, str(tmp_path / "in"), raw.schema, max_files=1), twice, str(tmp_path / "cp"), "inc",
+                     available_now=True)
+    q.awaitTermination()
+    want = rollup.daily_change(raw)
+    same(daily.read(), want)
+    same(monthly.read(), rollup.monthly_change(want))
+
+
+def test_predictions_by_batches(spark, tmp_path):
+    from tidegauge.streaming import incremental
+
+    rides = view(spark, SF_DIR, "taxi_rides").withColumn("event_time", F.col("event_time").cast("timestamp"))
+    deliver(rides, "event_time", str(tmp_path / "in"), 3)
+    out = UpsertTable(spark, str(tmp_path / "out"), ["ride_id"])
+    q = runner.start(streams.files(spark, str(tmp_path / "in"), rides.schema, max_files=1),
+                     incremental.predict_batches(spark, str(tmp_path / "s"), out.write_batch), str(tmp_path / "cp"), "inc",
+                     available_now=True)
+    q.awaitTermination()
+    assert bag(out.read()) == bag(taxi.predict(taxi.ride_features(rides)))

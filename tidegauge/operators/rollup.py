@@ -92,11 +92,50 @@ def change_rollup(df: DataFrame, key: str, order: str, trigger: list[str], label
     gets the number it has in the block where it starts, found from one summary row
     per (key, block), so neither a hot key nor a very long run is in one task.
     """
+    rows = _numbered(df, key, order, trigger, layout).where(~F.col("_open"))
+    aggs = [F.max_by(c, order).alias(c) for c in labels]
+    aggs += [a for m in metrics for a in five_stats(m, population=True)]
+    aggs += [F.sum(src).alias(name) for name, src in sums.items()]
+    closed = rows.groupBy(key, "_head", "_id").agg(*aggs, F.max(order).alias("last_order"))
+    return closed.drop("_head", "_id")
+
+
+def run_moments(df: DataFrame, key: str, order: str, trigger: list[str], labels: list[str],
+                metrics: list[Metric], sums: dict[str, str], layout: BlockLayout | None = None) -> DataFrame:
+    """All runs, the open ones too, with mergeable moments (n, mean, m2, low, high) per
+    metric instead of statistics; see streaming.incremental."""
+    aggs = [F.max_by(c, order).alias(c) for c in dict.fromkeys([*trigger, *labels])]
+    for m in metrics:
+        v, s = m.value(), m.suffix
+        n = F.count(v)
+        aggs += [n.cast("double").alias(f"n_{s}"), F.coalesce(F.avg(v), F.lit(0.0)).alias(f"mean_{s}"),
+                 F.coalesce(F.var_pop(v) * n, F.lit(0.0)).alias(f"m2_{s}"),
+                 F.min(v).alias(f"low_{s}"), F.max(v).alias(f"high_{s}")]
+    aggs += [F.sum(src).alias(name) for name, src in sums.items()]
+    rows = _numbered(df, key, order, trigger, layout)
+    return rows.groupBy(key, "_head", "_id").agg(
+        *aggs, F.min(order).alias("first_order"), F.max(order).alias("last_order"),
+        F.max("_open").alias("is_open")).drop("_head", "_id")
+
+
+def finish_moments(runs: DataFrame, key: str, labels: list[str], metrics: list[Metric], sums: dict[str, str]) -> DataFrame:
+    """Statistics of runs given as moments, in the columns of change_rollup."""
+    out = [key, *labels]
+    for m in metrics:
+        s = m.suffix
+        n = F.col(f"n_{s}")
+        var = F.when(n > 0, F.greatest(F.col(f"m2_{s}"), F.lit(0.0)) / n)
+        out += [F.col(f"high_{s}"), F.col(f"low_{s}"), F.when(n > 0, F.col(f"mean_{s}")).alias(f"mean_{s}"),
+                var.alias(f"variance_{s}"), F.sqrt(var).alias(f"stdev_{s}")]
+    return runs.select(*out, *sums, "last_order")
+
+
+def _numbered(df: DataFrame, key: str, order: str, trigger: list[str], layout: BlockLayout | None) -> DataFrame:
+    """Rows with the identity of their run (`_head`, `_id`) and whether it is open."""
     layout = layout or blocks.plan_blocks(df, order)
     rows = layout.assign(df, order)
     trig = F.col(trigger[0]) if len(trigger) == 1 else F.struct(*trigger)
     summary = _run_starts(rows, key, order, trig)
-
     ordered = Window.partitionBy(key, BLOCK).orderBy(F.col(order).desc())
     rows = (rows.withColumn("_next", F.lag(trig).over(ordered))
             .withColumn("_closes", F.when(F.col("_next") != trig, 1).otherwise(0))
@@ -106,16 +145,9 @@ def change_rollup(df: DataFrame, key: str, order: str, trigger: list[str], label
             .withColumn("_first_run", F.max("_run").over(Window.partitionBy(key, BLOCK))))
     rows = rows.join(summary, [key, BLOCK])
     joins = (F.col("_run") == F.col("_first_run")) & F.col("_continues")
-    head = F.when(joins, F.col("_first_head")).otherwise(F.col(BLOCK))
-    run = F.when(joins, F.lit(0)).otherwise(F.col("_run"))
-    rows = rows.withColumn("_head", head).withColumn("_id", run)
-    rows = rows.where(~((F.col("_id") == 0) & (F.col("_head") == F.col("_open_head"))))
-
-    aggs = [F.max_by(c, order).alias(c) for c in labels]
-    aggs += [a for m in metrics for a in five_stats(m, population=True)]
-    aggs += [F.sum(src).alias(name) for name, src in sums.items()]
-    closed = rows.groupBy(key, "_head", "_id").agg(*aggs, F.max(order).alias("last_order"))
-    return closed.drop("_head", "_id")
+    rows = rows.withColumns({"_head": F.when(joins, F.col("_first_head")).otherwise(F.col(BLOCK)),
+                             "_id": F.when(joins, F.lit(0)).otherwise(F.col("_run"))})
+    return rows.withColumn("_open", (F.col("_id") == 0) & (F.col("_head") == F.col("_open_head")))
 
 
 def _run_starts(rows: DataFrame, key: str, order: str, trig: Column) -> DataFrame:

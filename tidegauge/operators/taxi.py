@@ -42,10 +42,16 @@ def regression_fit(features: DataFrame) -> DataFrame:
     return fit.select(*GROUP, "n", slope.alias("slope"))
 
 
-def predict(features: DataFrame, layout: BlockLayout | None = None) -> DataFrame:
+def end_sums(features: DataFrame) -> DataFrame:
+    """n, sxy and sxx of the finished rides per cell and bucket: all a model needs."""
+    s = _sums()
+    return features.where(~F.col("is_start")).groupBy(*GROUP).agg(*[F.sum(v).alias(k) for k, v in s.items()])
+
+
+def predict(features: DataFrame, layout: BlockLayout | None = None, initial: DataFrame | None = None) -> DataFrame:
     """Whole predicted minutes for each START event from the END events before it in
     its cell and bucket. Running sums are taken inside time blocks and completed by
-    the sums of the group's earlier blocks."""
+    the sums of the group's earlier blocks, and by those of `initial` (see end_sums)."""
     layout = layout or blocks.plan_blocks(features, "event_time")
     rows = layout.assign(features, "event_time")
     sums = _sums()
@@ -54,11 +60,15 @@ def predict(features: DataFrame, layout: BlockLayout | None = None) -> DataFrame
     # One window operator for the three sums.
     run = rows.withColumns({k: F.sum(v).over(w) for k, v in sums.items()}).where(F.col("is_start"))
     run = run.fillna(0, list(sums))
-    if not layout.single:
+    if not layout.single or initial is not None:
         per_block = rows.groupBy(*GROUP, BLOCK).agg(*[F.sum(v).alias(f"_{k}") for k, v in sums.items()])
         earlier = blocks.before(GROUP)
         carried = per_block.select(*GROUP, BLOCK, *[
             F.coalesce(F.sum(f"_{k}").over(earlier), F.lit(0)).alias(f"_{k}") for k in sums])
+        if initial is not None:
+            # Per-block rows meet the initial sums, not the events.
+            carried = carried.join(initial.select(*GROUP, *sums), GROUP, "left").select(*GROUP, BLOCK, *[
+                (F.col(f"_{k}") + F.coalesce(F.col(k), F.lit(0))).alias(f"_{k}") for k in sums])
         run = run.join(carried, [*GROUP, BLOCK])
         for k in sums:
             run = run.withColumn(k, F.col(k) + F.col(f"_{k}"))

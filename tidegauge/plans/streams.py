@@ -10,7 +10,7 @@ from tidegauge.plans.common import rounded
 from tidegauge.session import shared_dir
 from tidegauge.sinks.tables import UpsertTable
 from tidegauge.sources import streams
-from tidegauge.streaming import change_rollup, model_join, runner, travel_time, voting
+from tidegauge.streaming import change_rollup, incremental, model_join, runner, travel_time, voting
 
 QUERIES = {}
 SQL = {}
@@ -75,3 +75,26 @@ def _stream_calendar(s, d):
 
 QUERIES["stream_daily_calendar"] = _stream_calendar
 SQL["stream_daily_calendar"] = weather.SQL["daily_calendar"]
+
+
+# The per-batch forms, which divide hot keys of a micro-batch and keep no Python state.
+def _daily_batches(s, d):
+    table = UpsertTable(s, shared_dir(s, "daily-batches"), ["wsid", "last_order"])
+    step = incremental.daily_change_batches(s, shared_dir(s, "daily-batches-state"), table.write_batch)
+    runner.start(stream_view(s, d, "weather_raw"), step, shared_dir(s, "daily-batches-checkpoint"), "daily_batches",
+                 available_now=True).awaitTermination()
+    return rounded(table.read())
+
+
+def _predict_batches(s, d):
+    table = UpsertTable(s, shared_dir(s, "predict-batches"), ["ride_id"])
+    step = incremental.predict_batches(s, shared_dir(s, "predict-batches-state"), table.write_batch)
+    runner.start(stream_view(s, d, "taxi_rides"), step, shared_dir(s, "predict-batches-checkpoint"), "predict_batches",
+                 available_now=True).awaitTermination()
+    return table.read()
+
+
+QUERIES["batches_daily_change"] = _daily_batches
+SQL["batches_daily_change"] = weather.SQL["daily_change"]
+QUERIES["batches_taxi_predict"] = _predict_batches
+SQL["batches_taxi_predict"] = taxi.SQL["taxi_predict"]
