@@ -135,15 +135,16 @@ def _numbered(df: DataFrame, key: str, order: str, trigger: list[str], layout: B
     layout = layout or blocks.plan_blocks(df, order)
     rows = layout.assign(df, order)
     trig = F.col(trigger[0]) if len(trigger) == 1 else F.struct(*trigger)
-    summary = _run_starts(rows, key, order, trig)
     ordered = Window.partitionBy(key, BLOCK).orderBy(F.col(order).desc())
     rows = (rows.withColumn("_next", F.lag(trig).over(ordered))
             .withColumn("_closes", F.when(F.col("_next") != trig, 1).otherwise(0))
             # Numbered from the end: run 0 is the block's last one.
             .withColumn("_run", F.sum("_closes").over(
-                ordered.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("_first_run", F.max("_run").over(Window.partitionBy(key, BLOCK))))
-    rows = rows.join(summary, [key, BLOCK])
+                ordered.rowsBetween(Window.unboundedPreceding, 0))))
+    if layout.single:
+        return rows.withColumns({"_head": F.col(BLOCK), "_id": F.col("_run"), "_open": F.col("_run") == 0})
+    rows = (rows.withColumn("_first_run", F.max("_run").over(Window.partitionBy(key, BLOCK)))
+            .join(_run_starts(layout.assign(df, order), key, order, trig), [key, BLOCK]))
     joins = (F.col("_run") == F.col("_first_run")) & F.col("_continues")
     rows = rows.withColumns({"_head": F.when(joins, F.col("_first_head")).otherwise(F.col(BLOCK)),
                              "_id": F.when(joins, F.lit(0)).otherwise(F.col("_run"))})
