@@ -208,3 +208,11 @@ def test_block_column_is_internal(spark):
     df = spark.range(10).select(F.col("id").alias("seq"), F.lit("k").alias("k"), F.lit(1.0).alias("v"))
     assert ordered.sliding_vector(df, ["k"], "seq", "v", 2).columns == ["seq", "k", "v", "vec"]
     assert blocks.BLOCK not in ordered.ordered_index(df, [F.col("seq")], "seq").columns
+
+
+def test_stored_order_spreads_a_hot_key(spark):
+    df = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("t"))
+    out = ordered.stored_order(df, ["k"], ["t"], 4)
+    parts = out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
+    assert len(parts) == 4 and max(p.n for p in parts) < 2500
+    assert out.first().t == 3999

@@ -219,3 +219,12 @@ def test_predictions_by_batches(spark, tmp_path):
                      available_now=True)
     q.awaitTermination()
     assert bag(out.read()) == bag(taxi.predict(taxi.ride_features(rides)))
+
+
+def test_stream_continues_a_stored_history(spark, tmp_path):
+    raw = view(spark, SF_DIR, "weather_raw")
+    history, later = raw.where("seq < 400"), raw.where("seq >= 400")
+    deliver(later, "seq", str(tmp_path / "in"), 1)
+    stream = change_rollup.daily_change_stream(streams.files(spark, str(tmp_path / "in"), raw.schema), history)
+    got = runner.replay(stream, "continued")
+    same(got.unionByName(rollup.daily_change(history)), rollup.daily_change(raw))

@@ -46,3 +46,9 @@ def model_key(name) -> Column:
 def model_text(name, description, data_type, model_type) -> Column:
     """One-line text of a model descriptor."""
     return F.concat_ws(" | ", model_key(name), _c(description), _c(data_type), _c(model_type))
+
+
+def request_id() -> Column:
+    """A new random request key. It is not repeatable, so add it once, at ingestion, and
+    store it with the record."""
+    return F.uuid()

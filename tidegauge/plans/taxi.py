@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegauge.fixtures import duck, view
-from tidegauge.functions import geo, parse
+from tidegauge.functions import geo, parse, sql
 from tidegauge.operators import ordered, taxi
 from tidegauge.plans.common import r, rounded
 
@@ -166,3 +166,17 @@ QUERIES["ride_order"] = _ride_order
 SQL["ride_order"] = duck(
     "select ride_id, is_start, cast(row_number() over (order by event_time, is_start desc, ride_id) as bigint) as rn from taxi_rides",
     "taxi_rides")
+
+
+def _by_name(s, d):
+    sql.register(s)
+    return rounded(s.sql(
+        "select ride_id, grid_cell(start_lon, start_lat) as cell, in_city(start_lon, start_lat) as inside, "
+        "distance_km(start_lon, start_lat, end_lon, end_lat) as dist from {rides}", rides=view(s, d, "rides_wide")))
+
+
+# The functions called by name in SQL text.
+QUERIES["sql_functions"] = _by_name
+SQL["sql_functions"] = duck(
+    f"select ride_id, {_cell('start_lon', 'start_lat')} as cell, ({_LON_OK.format('start')} or {_LAT_OK.format('start')}) as inside, "
+    f"{r(_DIST, 'dist')} from rides_wide", "rides_wide")
