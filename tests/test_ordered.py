@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tidegauge.operators import asof, blocks, ordered, rollup, taxi
 from tidegauge.operators.blocks import BlockLayout, plan_blocks
 
-LAYOUTS = [BlockLayout(0, 1, 1), BlockLayout(0, 7, 60), BlockLayout(0, 1, 400), BlockLayout(0, 50, 8)]
+LAYOUTS = [BlockLayout(0, 1, 1), BlockLayout(0, 7, 60), BlockLayout(0, 1, 400), BlockLayout(0, 50, 8),
+           BlockLayout(0, 256, 4, (5, 100, 350), 64, 7)]  # unequal blocks
 
 
 def test_layout_of_even_data_is_equal_width(spark):

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = "_block"
-MAX_BLOCKS = 10_000
+MAX_BLOCKS = 40_000
 MIN_BLOCK_ROWS = 1024
 BINS_PER_BLOCK = 4
 
