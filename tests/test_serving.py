@@ -41,6 +41,33 @@ def test_votes_after_the_timeout_are_ignored(spark):
     assert (got[3].processed, got[3].result, got[3].duration) == (False, None, 100)
 
 
+def test_hot_request_is_divided(spark):
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        requests = spark.range(300).select(F.col("id").alias("request_id"), F.lit(1000).cast("bigint").alias("req_ts"))
+        i = F.col("id")
+        responses = spark.range(0, 30_000, 1, 8).select(
+            F.when(i % 3 == 0, 7).otherwise(i % 300).cast("bigint").alias("request_id"), (i % 250 + 1000).alias("resp_ts"),
+            F.lit(True).alias("processed"), (i % 2).cast("int").alias("result"), F.lit(1).alias("source"))
+        got = ensemble.vote_timeout(requests, responses, 100, 3)
+        votes = {r.request_id: r.votes for r in got.collect()}
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = {}
+    for n in range(30_000):
+        if n % 250 <= 100:
+            k = 7 if n % 3 == 0 else n % 300
+            want[k] = want.get(k, 0) + 1
+    assert votes == {k: want.get(k, 0) for k in range(300)}
+
+
 def test_custom_decider(spark):
     rows = [(1, True, 1, 0), (1, True, 0, 0), (1, True, 0, 0)]
     unanimous_zero = F.max("result")
