@@ -2,6 +2,8 @@
 
 `versions` (models, settings) are valid from their order value until the next
 version of the same key. A version at the same position as a record applies to it.
+Records without a position or a key are kept, with NULL payload; versions without one
+are never in force.
 """
 
 from __future__ import annotations
@@ -24,7 +26,8 @@ def asof_join(data: DataFrame, versions: DataFrame, order: str, version_order: s
     first one. Two exact plans: up to `max_broadcast` versions (counted first), the
     data is not shuffled at all; beyond, both sides are cut into blocks."""
     keys = keys or []
-    versions = versions.select(*keys, F.col(version_order).cast("bigint").alias("_vo"), *payload)
+    versions = versions.select(*keys, F.col(version_order).cast("bigint").alias("_vo"), *payload).dropna(
+        subset=["_vo", *keys])
     n, lo, hi = versions.agg(F.count("_vo"), F.min("_vo"), F.max("_vo")).first()
     if n <= max_broadcast:
         groups = versions.select(*keys).distinct().count() if keys and n else 1
@@ -92,8 +95,8 @@ def _by_block(data, versions, order, payload, keys, layout):
                .groupBy(*keys, BLOCK).agg(F.max("_end").alias("_end")))
     carried = carried.select(*keys, BLOCK, F.last("_end", ignorenulls=True).over(
         blocks.before(keys)).alias("_carried"))
-    out = both.join(carried, [*keys, BLOCK])
-    found = F.coalesce(F.col("_here"), F.col("_carried"))
+    out = blocks.joined(both, carried, [*keys, BLOCK])
+    found = F.when(F.col("_vo").isNotNull(), F.coalesce(F.col("_here"), F.col("_carried")))
     return out.withColumn("_f", found).select(*data.columns, *[F.col(f"_f.{c}").alias(c) for c in payload])
 
 

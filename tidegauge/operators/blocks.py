@@ -7,6 +7,9 @@ block), and what a block needs from earlier blocks of its key is computed from a
 small per-block summary: the two-level form of a prefix scan. Blocks hold about
 the same number of rows, so no task grows with the share of a key, and a key has
 at most `max_blocks` summary rows.
+
+Rows without a position come first: they are in the first block. Keys are compared
+null-safely (`joined`), so rows without a key are rows of one key.
 """
 
 from __future__ import annotations
@@ -61,8 +64,8 @@ class BlockLayout:
             return df.withColumn(BLOCK, F.lit(0).cast("bigint"))
         if not self.splits:
             raw = _div(pos - F.lit(self.origin), self.width)
-            return df.withColumn(BLOCK, F.greatest(
-                F.lit(0), F.least(raw, F.lit(self.blocks - 1))).cast("bigint"))
+            return df.withColumn(BLOCK, F.when(raw.isNull(), F.lit(0)).otherwise(F.greatest(
+                F.lit(0), F.least(raw, F.lit(self.blocks - 1)))).cast("bigint"))
         # Unequal blocks: find the bin by arithmetic, then the block in the bin. The
         # table has at most bins + blocks rows, both bounded by the layout.
         lookup = F.broadcast(self._table(df.sparkSession))
@@ -71,7 +74,8 @@ class BlockLayout:
         keyed = df.withColumn("_pos", pos).withColumn("_bin", slot.cast("bigint"))
         hit = (keyed["_bin"] == lookup["_b"]) & (keyed["_pos"] >= lookup["_from"]) & (
             keyed["_pos"] < lookup["_to"])
-        return (keyed.join(lookup, hit, "left").drop("_b", "_from", "_to", "_pos", "_bin"))
+        found = keyed.join(lookup, hit, "left").drop("_b", "_from", "_to", "_pos", "_bin")
+        return found.withColumn(BLOCK, F.coalesce(BLOCK, F.lit(0).cast("bigint")))
 
     def _table(self, spark):
         lo_bound, hi_bound = -(2 ** 62), 2 ** 62
@@ -96,7 +100,7 @@ def plan_blocks(df: DataFrame, order: str, max_blocks: int = MAX_BLOCKS,
     4 * max_blocks bins. Bins that are still too full (bursts) are refined, so the
     bound holds for uneven data too; only rows of one equal position stay together.
     """
-    pos = df.select(position(df, order).alias("p"))
+    pos = df.select(position(df, order).alias("p")).where("p is not null")
     lo, hi, rows = pos.agg(F.min("p"), F.max("p"), F.count("p")).first()
     if not rows:
         return ONE_BLOCK
@@ -148,6 +152,15 @@ def _refine(pos: DataFrame, origin: int, width: int, counts: dict[int, int],
         counts = _histogram(pos, origin, width)
 
 
+def joined(rows: DataFrame, summary: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """`rows` with the other columns of `summary`, joined on `keys` where NULL equals NULL."""
+    other = summary.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in summary.columns if c not in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return rows.join(other, same, how).drop(*[f"_k_{k}" for k in keys])
+
+
 def before(keys: list[str]):
     """Window over all earlier blocks of a key, for per-block summaries only."""
     return Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)

@@ -86,14 +86,15 @@ def change_rollup(df: DataFrame, key: str, order: str, trigger: list[str], label
     A run closes when the next record of its key has another trigger value; the
     last, still open run of each key is left out. Statistics are of the population.
     `labels` are numeric columns taken from the run's last record, which also gives
-    `last_order` for chaining. `order` must be unique within a key.
+    `last_order` for chaining. `order` must be unique within a key; records without one
+    come first, by their trigger. NULL is a key and a trigger value like any other.
 
     Runs are numbered inside blocks of the order axis. A run that crosses blocks
     gets the number it has in the block where it starts, found from one summary row
     per (key, block), so neither a hot key nor a very long run is in one task.
     """
     rows = _numbered(df, key, order, trigger, layout).where(~F.col("_open"))
-    aggs = [F.max_by(c, order).alias(c) for c in labels]
+    aggs = [F.max_by(c, _place(order, trigger)).alias(c) for c in labels]
     aggs += [a for m in metrics for a in five_stats(m, population=True)]
     aggs += [F.sum(src).alias(name) for name, src in sums.items()]
     closed = rows.groupBy(key, "_head", "_id").agg(*aggs, F.max(order).alias("last_order"))
@@ -104,7 +105,7 @@ def run_moments(df: DataFrame, key: str, order: str, trigger: list[str], labels:
                 metrics: list[Metric], sums: dict[str, str], layout: BlockLayout | None = None) -> DataFrame:
     """All runs, the open ones too, with mergeable moments (n, mean, m2, low, high) per
     metric instead of statistics; see streaming.incremental."""
-    aggs = [F.max_by(c, order).alias(c) for c in dict.fromkeys([*trigger, *labels])]
+    aggs = [F.max_by(c, _place(order, trigger)).alias(c) for c in dict.fromkeys([*trigger, *labels])]
     for m in metrics:
         v, s = m.value(), m.suffix
         n = F.count(v)
@@ -130,12 +131,18 @@ def finish_moments(runs: DataFrame, key: str, labels: list[str], metrics: list[M
     return runs.select(*out, *sums, "last_order")
 
 
+def _place(order: str, trigger: list[str]) -> Column:
+    """Sorts like (order, trigger) with NULLs first, and is never NULL itself."""
+    return F.struct(F.col(order).isNotNull(), F.col(order), *trigger)
+
+
 def _numbered(df: DataFrame, key: str, order: str, trigger: list[str], layout: BlockLayout | None) -> DataFrame:
     """Rows with the identity of their run (`_head`, `_id`) and whether it is open."""
     layout = layout or blocks.plan_blocks(df, order)
     rows = layout.assign(df, order)
-    trig = F.col(trigger[0]) if len(trigger) == 1 else F.struct(*trigger)
-    ordered = Window.partitionBy(key, BLOCK).orderBy(F.col(order).desc())
+    # A struct is not NULL, so NULL triggers compare like values; no next record is NULL.
+    trig = F.struct(*trigger)
+    ordered = Window.partitionBy(key, BLOCK).orderBy(_place(order, trigger).desc())
     rows = (rows.withColumn("_next", F.lag(trig).over(ordered))
             .withColumn("_closes", F.when(F.col("_next") != trig, 1).otherwise(0))
             # Numbered from the end: run 0 is the block's last one.
@@ -144,18 +151,19 @@ def _numbered(df: DataFrame, key: str, order: str, trigger: list[str], layout: B
     if layout.single:
         return rows.withColumns({"_head": F.col(BLOCK), "_id": F.col("_run"), "_open": F.col("_run") == 0})
     rows = (rows.withColumn("_first_run", F.max("_run").over(Window.partitionBy(key, BLOCK)))
-            .join(_run_starts(layout.assign(df, order), key, order, trig), [key, BLOCK]))
+            .transform(blocks.joined, _run_starts(layout.assign(df, order), key, order, trigger), [key, BLOCK]))
     joins = (F.col("_run") == F.col("_first_run")) & F.col("_continues")
     rows = rows.withColumns({"_head": F.when(joins, F.col("_first_head")).otherwise(F.col(BLOCK)),
                              "_id": F.when(joins, F.lit(0)).otherwise(F.col("_run"))})
     return rows.withColumn("_open", (F.col("_id") == 0) & (F.col("_head") == F.col("_open_head")))
 
 
-def _run_starts(rows: DataFrame, key: str, order: str, trig: Column) -> DataFrame:
+def _run_starts(rows: DataFrame, key: str, order: str, trigger: list[str]) -> DataFrame:
     """Per (key, block): does its first run continue the previous block's last one,
     in which block does that run start, and in which does the key's open run."""
+    trig, place = F.struct(*trigger), _place(order, trigger)
     per_block = rows.groupBy(key, BLOCK).agg(
-        F.min_by(trig, order).alias("_in"), F.max_by(trig, order).alias("_out"),
+        F.min_by(trig, place).alias("_in"), F.max_by(trig, place).alias("_out"),
         (F.min(trig) == F.max(trig)).alias("_uniform"))
     across = Window.partitionBy(key).orderBy(BLOCK)
     chained = (

@@ -67,9 +67,9 @@ def predict(features: DataFrame, layout: BlockLayout | None = None, initial: Dat
             F.coalesce(F.sum(f"_{k}").over(earlier), F.lit(0)).alias(f"_{k}") for k in sums])
         if initial is not None:
             # Per-block rows meet the initial sums, not the events.
-            carried = carried.join(initial.select(*GROUP, *sums), GROUP, "left").select(*GROUP, BLOCK, *[
+            carried = blocks.joined(carried, initial.select(*GROUP, *sums), GROUP, "left").select(*GROUP, BLOCK, *[
                 (F.col(f"_{k}") + F.coalesce(F.col(k), F.lit(0))).alias(f"_{k}") for k in sums])
-        run = run.join(carried, [*GROUP, BLOCK])
+        run = blocks.joined(run, carried, [*GROUP, BLOCK])
         for k in sums:
             run = run.withColumn(k, F.col(k) + F.col(f"_{k}"))
     return (run.where((F.col("n") >= 2) & (F.col("sxx") > 0))
