@@ -139,6 +139,46 @@ def test_large_tree_in_arrays_equals_expression(spark, monkeypatch, kind):
     assert sorted(map(tuple, expression.collect())) == sorted(map(tuple, arrays.collect()))
 
 
+PREDICATES = {
+    "<False/>": lambda x: False, "<True/>": lambda x: True,
+    '<SimplePredicate field="a" operator="lessThan" value="2"/>': lambda x: x < 2,
+    '<SimplePredicate field="a" operator="notEqual" value="2"/>': lambda x: x != 2,
+    '<SimpleSetPredicate field="a" booleanOperator="isIn"><Array n="2" type="real">1 3</Array></SimpleSetPredicate>': lambda x: x in (1, 3),
+    '<SimpleSetPredicate field="a" booleanOperator="isNotIn"><Array n="2" type="real">1 3</Array></SimpleSetPredicate>': lambda x: x not in (1, 3),
+} | {f'<CompoundPredicate booleanOperator="{op}"><SimplePredicate field="a" operator="lessThan" value="3"/>'
+     '<SimplePredicate field="a" operator="greaterThan" value="1"/><SimplePredicate field="a" operator="equal" value="4"/></CompoundPredicate>': f
+     for op, f in (("and", lambda x: x < 3 and x > 1 and x == 4), ("or", lambda x: x < 3 or x > 1 or x == 4),
+                   ("xor", lambda x: (x < 3) ^ (x > 1) ^ (x == 4)))}
+
+
+def tree_document(test, strategy="returnNullPrediction"):
+    return pmml.Document(
+        '<PMML><DataDictionary><DataField name="y"/><DataField name="a"/></DataDictionary><TreeModel functionName="regression" '
+        f'noTrueChildStrategy="{strategy}"><MiningSchema><MiningField name="y" usageType="target"/><MiningField name="a"/></MiningSchema>'
+        f'<Node score="5"><True/><Node score="9">{test}</Node></Node></TreeModel></PMML>')
+
+
+@pytest.mark.parametrize("leaves", [64, 0])
+@pytest.mark.parametrize("strategy,otherwise", [("returnNullPrediction", None), ("returnLastPrediction", 5.0)])
+def test_predicates_in_both_forms(spark, monkeypatch, leaves, strategy, otherwise):
+    monkeypatch.setattr(pmml, "MAX_EXPRESSION_LEAVES", leaves)
+    values = [0.0, 1.0, 2.0, 3.0, 4.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "a double")
+    scores = [tree_document(p, strategy).score(["a"]).alias(f"s{i}") for i, p in enumerate(PREDICATES)]
+    for row in df.select("a", *scores).collect():
+        want = [9.0 if f(row.a or 0.0) else otherwise for f in PREDICATES.values()]
+        assert list(row)[1:] == want
+
+
+@pytest.mark.parametrize("test", ["", '<CompoundPredicate booleanOperator="surrogate"><True/></CompoundPredicate>',
+                                  '<SimplePredicate field="a" operator="isMissing"/>'])
+def test_other_predicates_are_refused(spark, monkeypatch, test):
+    for leaves in (64, 0):
+        monkeypatch.setattr(pmml, "MAX_EXPRESSION_LEAVES", leaves)
+        with pytest.raises(ValueError):
+            tree_document(test).score(["a"])
+
+
 def test_majority_forest(spark):
     df = wine(spark)
     trees = [df.select("seq", pmml.Document(specs.tree_pmml(4, t, "cls")).score(df.columns).alias("s")).collect() for t in range(3)]

@@ -39,9 +39,10 @@ class FlatTree:
     yes: np.ndarray
     no: np.ndarray
     output: np.ndarray
+    root: int = 0
 
     def apply(self, x: np.ndarray) -> np.ndarray:
-        at = np.zeros(len(x), dtype=np.int64)
+        at = np.full(len(x), self.root, dtype=np.int64)
         while True:
             f = self.feature[at]
             live = np.flatnonzero(f >= 0)
@@ -57,6 +58,49 @@ class FlatTree:
 _OPS = {"lessOrEqual": 0, "lessThan": 1, "greaterThan": 2, "greaterOrEqual": 3, "equal": 4, "notEqual": 5}
 
 
+def _compare(x: float, operator: str, t: float) -> bool:
+    return [x <= t, x < t, x > t, x >= t, x == t, x != t][_OPS[operator]]
+
+
+def _returns_last(tree: ET.Element) -> bool:
+    return tree.get("noTrueChildStrategy") == "returnLastPrediction"
+
+
+def simple_form(node: ET.Element) -> tuple:
+    """The predicate of a tree node from four parts: ("const", bool), ("test", field, operator,
+    number), ("and" | "or" | "xor", left, right). Both evaluators read this form only. A node
+    without a predicate, and predicates outside these families, are refused."""
+    found = [c for c in node if c.tag in ("True", "False") or c.tag.endswith("Predicate")]
+    if len(found) != 1:
+        raise ValueError(f"a tree node has {len(found)} predicates")
+    return _simplify(found[0])
+
+
+def _join(kind: str, parts: list[tuple]) -> tuple:
+    out = parts[0]
+    for part in parts[1:]:
+        out = (kind, out, part)
+    return out
+
+
+def _simplify(p: ET.Element) -> tuple:
+    if p.tag in ("True", "False"):
+        return ("const", p.tag == "True")
+    if p.tag == "SimplePredicate" and p.get("operator") in _OPS:
+        return ("test", p.get("field"), p.get("operator"), float(p.get("value")))
+    if p.tag == "SimpleSetPredicate" and p.get("booleanOperator") in ("isIn", "isNotIn"):
+        values = [float(v.strip('"')) for v in p.find("Array").text.split()]
+        isin = p.get("booleanOperator") == "isIn"
+        if not values:
+            return ("const", not isin)
+        return _join("or" if isin else "and", [("test", p.get("field"), "equal" if isin else "notEqual", v) for v in values])
+    if p.tag == "CompoundPredicate" and p.get("booleanOperator") in ("and", "or", "xor"):
+        parts = [_simplify(c) for c in p if c.tag in ("True", "False") or c.tag.endswith("Predicate")]
+        if parts:
+            return _join(p.get("booleanOperator"), parts)
+    raise ValueError(f"unsupported predicate: {p.tag} {p.get('operator') or p.get('booleanOperator') or ''}")
+
+
 class Document:
     """A parsed PMML file; `score(columns)` gives the prediction as a DOUBLE column."""
 
@@ -142,13 +186,18 @@ class Document:
             flat = self._flatten(self.model, lambda n: [self._label(n, classes)])
             return self._udf(lambda x: flat.apply(x)[:, 0], columns)
 
+        def holds(p: tuple) -> Column:
+            if p[0] == "const":
+                return F.lit(p[1])
+            if p[0] == "test":
+                x, t = self._field(p[1], columns), F.lit(p[3])
+                return {"lessOrEqual": x <= t, "lessThan": x < t, "greaterThan": x > t,
+                        "greaterOrEqual": x >= t, "equal": x == t, "notEqual": x != t}[p[2]]
+            left, right = holds(p[1]), holds(p[2])
+            return {"and": left & right, "or": left | right, "xor": left != right}[p[0]]
+
         def test(node: ET.Element) -> Column:
-            p = node.find("SimplePredicate")
-            if p is None:
-                return F.lit(node.find("False") is None)
-            x, t = self._field(p.get("field"), columns), F.lit(float(p.get("value")))
-            return {"lessOrEqual": x <= t, "lessThan": x < t, "greaterThan": x > t,
-                    "greaterOrEqual": x >= t, "equal": x == t, "notEqual": x != t}[p.get("operator")]
+            return holds(simple_form(node))
 
         def value(node: ET.Element) -> Column:
             children = node.findall("Node")
@@ -157,7 +206,7 @@ class Document:
             out = None
             for child in children:
                 out = F.when(test(child), value(child)) if out is None else out.when(test(child), value(child))
-            if self.model.get("noTrueChildStrategy") == "returnLastPrediction":
+            if _returns_last(self.model):
                 out = out.otherwise(F.lit(self._label(node, classes)))
             return out
 
@@ -166,33 +215,44 @@ class Document:
     def _flatten(self, tree: ET.Element, output: Callable[[ET.Element], list[float]]) -> FlatTree:
         index = {f: i for i, f in enumerate(self.fields)}
         rows: list[list] = []
-        width = len(output(tree.find("Node")))
+        last = _returns_last(tree)
 
-        def add(feature=-1, op=0, value=0.0, out=None) -> int:
-            rows.append([feature, op, value, -1, -1, out or [float("nan")] * width])
+        def add(feature=-1, op=0, value=0.0, yes=-1, no=-1, out=None) -> int:
+            rows.append([feature, op, value, yes, no, out])
             return len(rows) - 1
 
         def build(node: ET.Element) -> int:
             children = node.findall("Node")
             if not children:
                 return add(out=output(node))
-            return chain(children)
-
-        def chain(children: list[ET.Element]) -> int:
-            if not children:
-                return add()
-            head, rest = children[0], children[1:]
-            p = head.find("SimplePredicate")
-            if p is None:
-                return build(head)
-            at = add(index[p.get("field")], _OPS[p.get("operator")], float(p.get("value")))
-            rows[at][3] = build(head)
-            rows[at][4] = chain(rest)
+            # Where no child holds: the node's own prediction, or none.
+            at = add(out=output(node) if last else None)
+            for child in reversed(children):
+                at = route(simple_form(child), lambda c=child: build(c), lambda a=at: a)
             return at
 
-        build(tree.find("Node"))
+        def route(p: tuple, yes: Callable[[], int], no: Callable[[], int]) -> int:
+            if p[0] == "const":
+                return yes() if p[1] else no()
+            if p[0] == "test":
+                y, n = yes(), no()
+                # A document may test a field that its schema does not list: it counts as 0.
+                if p[1] not in index:
+                    index[p[1]] = -1
+                return add(index[p[1]], _OPS[p[2]], p[3], y, n) if index[p[1]] >= 0 else (
+                    y if _compare(0.0, p[2], p[3]) else n)
+            y, n = yes(), no()
+            if p[0] == "and":
+                return route(p[1], lambda: route(p[2], lambda: y, lambda: n), lambda: n)
+            if p[0] == "or":
+                return route(p[1], lambda: y, lambda: route(p[2], lambda: y, lambda: n))
+            return route(p[1], lambda: route(p[2], lambda: n, lambda: y), lambda: route(p[2], lambda: y, lambda: n))
+
+        root = build(tree.find("Node"))
+        width = max([1, *(len(r[5]) for r in rows if r[5])])
         cols = list(zip(*rows))
-        return FlatTree(*[np.array(c) for c in cols[:5]], np.array(cols[5], dtype=float))
+        out = np.array([r or [float("nan")] * width for r in cols[5]], dtype=float)
+        return FlatTree(*[np.array(c) for c in cols[:5]], out, root)
 
     def _forest(self, columns: list[str]) -> Column:
         seg = self.model.find("Segmentation")

@@ -138,6 +138,31 @@ def tree_pmml(depth: int, seed: int, kind: str) -> str:
     return _doc(_tree_body(depth, seed, kind), CLASSES if kind == "cls" else None)
 
 
+def predicate_pmml(copies: int = 1) -> str:
+    """A tree with every kind of predicate; the last branch is listed `copies` times, of which only
+    the first is ever reached."""
+    def simple(c: str, op: str, v: float) -> str:
+        return f'<SimplePredicate field="{FIELD_NAMES[c]}" operator="{op}" value="{v!r}"/>'
+
+    def compound(op: str, *parts: str) -> str:
+        return f'<CompoundPredicate booleanOperator="{op}">{"".join(parts)}</CompoundPredicate>'
+
+    a, b, x = "alcohol", "residual_sugar", "fixed_acidity"
+    members = f'<SimpleSetPredicate field="{FIELD_NAMES[a]}" booleanOperator="isIn"><Array n="2" type="real">9.5 10.5</Array></SimpleSetPredicate>'
+    inner = f'<Node score="4"><False/></Node><Node score="5">{simple(b, "greaterThan", 8.0)}</Node>'
+    branches = [("9", "<False/>", ""), ("2", members, ""), ("3", compound("and", simple(a, "lessThan", 11.0), simple(x, "greaterOrEqual", 7.0)), inner),
+                ("6", compound("or", simple(a, "greaterThan", 14.0), compound("xor", simple(b, "lessThan", 5.0), simple(x, "lessThan", 8.0))), "")]
+    branches += [("7", simple(a, "greaterThan", 12.0), "")] * copies
+    nodes = "".join(f'<Node score="{score}">{test}{inside}</Node>' for score, test, inside in branches)
+    return _doc(f'<TreeModel functionName="regression" splitCharacteristic="multiSplit" noTrueChildStrategy="returnLastPrediction">'
+                f'{_schema()}<Node score="1"><True/>{nodes}</Node></TreeModel>')
+
+
+PREDICATE_SQL = ("case when alcohol in (9.5, 10.5) then 2 when alcohol < 11 and fixed_acidity >= 7 then "
+                 "case when residual_sugar > 8 then 5 else 3 end "
+                 "when alcohol > 14 or ((residual_sugar < 5) <> (fixed_acidity < 8)) then 6 when alcohol > 12 then 7 else 1 end")
+
+
 def forest_pmml(trees: int, depth: int, method: str = "average") -> str:
     segments = "".join(f'<Segment id="{t}"><True/>{_tree_body(depth, t, "cls")}</Segment>' for t in range(trees))
     return _doc(f'<MiningModel functionName="classification">{_schema()}<Segmentation multipleModelMethod="{method}">'

@@ -46,6 +46,16 @@ QUERIES["asof_global_blocks"] = lambda s, d: asof.asof_join(
 SQL["asof_global_blocks"] = duck(
     "select c.seq, c.data_type, m.model from cpu c asof left join published m on c.seq >= m.seq", "cpu", "published")
 
+# Records without a key or a position keep their row, under either plan.
+_GAPS = "select seq as id, nullif(seq, seq // 97 * 97) as seq, case when seq % 11 <> 0 then data_type end as data_type from cpu"
+for _name, _limit in (("asof_nulls", asof.MAX_BROADCAST_VERSIONS), ("asof_nulls_blocks", 0)):
+    QUERIES[_name] = lambda s, d, limit=_limit: asof.asof_join(
+        s.sql("select seq as id, nullif(seq, seq div 97 * 97) as seq, case when seq % 11 <> 0 then data_type end as data_type "
+              "from {cpu}", cpu=_cpu(s, d)), view(s, d, "published"), "seq", "seq", ["model"], ["data_type"],
+        max_broadcast=limit)
+    SQL[_name] = duck(f"select c.id, c.seq, c.data_type, m.model from ({_GAPS}) c asof left join published m "
+                      "on c.data_type = m.data_type and c.seq >= m.seq", "cpu", "published")
+
 
 def _timeouts(s, d):
     return asof.control_asof(view(s, d, "requests"), view(s, d, "controls"), "request_id", "seq", ["data_type"], "tmout")
@@ -112,6 +122,11 @@ for _name, _text, _sql in (
 ):
     QUERIES[_name] = _scored("PMML", _text)
     SQL[_name] = duck(f"select seq, {r(_sql, 'score')} from wine", "wine")
+# Compound and set predicates, as an expression and (score_tree_arrays) in arrays.
+QUERIES["score_tree_predicates"] = _scored("PMML", specs.predicate_pmml)
+SQL["score_tree_predicates"] = duck(f"select seq, {r(specs.PREDICATE_SQL, 'score')} from wine", "wine")
+QUERIES["score_tree_arrays"] = _scored("PMML", lambda: specs.predicate_pmml(copies=30))
+SQL["score_tree_arrays"] = SQL["score_tree_predicates"]
 QUERIES["score_forest"] = _scored("PMML", lambda: specs.forest_pmml(_TREES, _FOREST_DEPTH))
 SQL["score_forest"] = duck(specs.forest_sql(_TREES, _FOREST_DEPTH, "wine", "seq"), "wine")
 QUERIES["score_mlp"] = _scored("PMML", specs.network_pmml)

@@ -167,6 +167,20 @@ SQL["ride_order"] = duck(
     "select ride_id, is_start, cast(row_number() over (order by event_time, is_start desc, ride_id) as bigint) as rn from taxi_rides",
     "taxi_rides")
 
+# Events without a time are numbered first.
+_NO_TIME = "case when ride_id % 53 <> 0 then event_time end"
+
+
+def _ride_order_nulls(s, d):
+    rides = _rides(s, d).withColumn("event_time", F.expr(_NO_TIME)).select("ride_id", "is_start", "event_time")
+    return ordered.ordered_index(rides, ordered.ride_order(), "event_time", "rn").drop("event_time")
+
+
+QUERIES["ride_order_nulls"] = _ride_order_nulls
+SQL["ride_order_nulls"] = duck(
+    f"select ride_id, is_start, cast(row_number() over (order by {_NO_TIME} nulls first, is_start desc, ride_id) as bigint) as rn "
+    "from taxi_rides", "taxi_rides")
+
 
 def _by_name(s, d):
     sql.register(s)

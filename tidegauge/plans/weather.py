@@ -68,6 +68,15 @@ SQL["daily_change_by_date"] = SQL["daily_change"].replace(
     "lag(day) over (partition by wsid order by seq) <> day",
     "lag(make_date(year, month, day)) over (partition by wsid order by seq) <> make_date(year, month, day)")
 
+# Missing stations and days are values: one station, and days that begin and end runs.
+_GAPS = "nullif(wsid, case when seq % 13 = 0 then wsid end) as wsid, case when seq % 17 <> 0 then day end as day"
+QUERIES["daily_change_nulls"] = lambda s, d: rounded(rollup.daily_change(
+    s.sql(f"select * except (wsid, day), {_GAPS} from {{raw}}", raw=_raw(s, d))))
+SQL["daily_change_nulls"] = SQL["daily_change"].replace(
+    "case when lag(day) over (partition by wsid order by seq) <> day then 1 else 0 end as chg from weather_raw",
+    "case when lag(day) over (partition by wsid order by seq) is distinct from day then 1 else 0 end as chg from "
+    f"(select * exclude (wsid, day), {_GAPS} from weather_raw) g").replace("arg_max(day, seq) as day", "min(day) as day")
+
 QUERIES["monthly_change"] = lambda s, d: rounded(rollup.monthly_change(
     materialize(rollup.daily_change(_raw(s, d)), "daily-change")))
 SQL["monthly_change"] = duck(
