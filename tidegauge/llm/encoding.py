@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import itertools
 import json
+import os
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,9 @@ from tidegauge.llm.tables import ranges, utf8
 
 # Pieces that a Python worker remembers, about 200 bytes each.
 CACHED_PIECES = 500_000
+# Bytes of text that are worked on at a time, and pieces encoded in one call.
+STEP_BYTES = 1 << 21
+CALL_PIECES = 10_000
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
@@ -36,22 +41,26 @@ _VISIBLE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0xC2, 0xE1, 0xE2, 0xE3]] = Fals
 
 _PRINTED = (np.arange(256) > 32) & (np.arange(256) < 127)
 
+# The names that byte-level vocabularies give to bytes. Printed ones are their own.
+_OWN_NAME = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_NAMES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _OWN_NAME)}
+
 # The two pre-tokenizer forms for which the cuts above are exact.
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def vocabulary_size(path: str) -> int:
     """Ids of a tokenizer file run from 0 to this number, exclusive."""
-    spec = json.load(open(path, encoding="utf-8"))
-    return 1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
+    from tokenizers import Tokenizer
+
+    return 1 + max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values())
 
 
-def _cuts_are_exact(spec: dict) -> bool:
-    normal = spec.get("normalizer") or {"type": "Sequence", "normalizers": []}
-    steps = normal.get("normalizers", [normal])
+def _cuts_are_exact(normalizer: dict | None, pre: dict | None) -> bool:
+    steps = normalizer.get("normalizers", [normalizer]) if normalizer else []
     if any(s["type"] not in ("NFC", "Lowercase") and s.get("pattern") != {"Regex": r"\s+"} for s in steps):
         return False
-    pre = spec.get("pre_tokenizer") or {}
+    pre = pre or {}
     if pre.get("type") == "ByteLevel":
         return pre.get("use_regex") is True and pre.get("add_prefix_space") is False and not steps
     parts = pre.get("pretokenizers", [])
@@ -63,12 +72,17 @@ class Encoder:
     """Encodes string columns; made once per Python worker by `encoder`."""
 
     def __init__(self, path: str):
+        # One thread: Spark runs a worker per core.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        spec = json.load(open(path, encoding="utf-8"))
-        self.exact = _cuts_are_exact(spec)
-        self.added = [t["content"] for t in spec["added_tokens"]]
+        # The parts' own descriptions; the file itself would fill a worker's memory when parsed.
+        normalizer, pre = (p and json.loads(p.__getstate__()) for p in (
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer))
+        self.exact = _cuts_are_exact(normalizer, pre)
+        self.lower = normalizer is not None
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._forget()
 
     def _forget(self) -> None:
@@ -79,8 +93,31 @@ class Encoder:
         self.used = 0
 
     def _learn(self, pieces: list[bytes]) -> None:
-        done = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        ids = [e.ids for e in done]
+        for i in range(0, len(pieces), CALL_PIECES):
+            self._add(pieces[i:i + CALL_PIECES])
+
+    def _word(self, piece: bytes) -> str | None:
+        """The form in which the model takes a piece that is one word of Latin-1 letters, which
+        the pre-tokenizer would leave whole; None for any other piece."""
+        word = piece[1:] if piece[:1] == b" " else piece
+        if word.isalpha():
+            text = word.decode("ascii")
+        else:
+            text = word.decode()
+            if not text.isalpha() or max(text) > "\xff":
+                return None
+        if self.lower:
+            return text.lower().encode().decode("latin-1").translate(_BYTE_NAMES)
+        return ("\u0120" if piece[:1] == b" " else "") + word.decode("latin-1").translate(_BYTE_NAMES)
+
+    def _add(self, pieces: list[bytes]) -> None:
+        words = [self._word(p) for p in pieces] if self.exact else [None] * len(pieces)
+        tokenize = self.tokenizer.model.tokenize
+        ids = [None if w is None else [t.id for t in tokenize(w)] for w in words]
+        rest = [i for i, w in enumerate(words) if w is None]
+        done = self.tokenizer.encode_batch_fast([pieces[i].decode() for i in rest], add_special_tokens=False)
+        for i, e in zip(rest, done):
+            ids[i] = e.ids
         n, at = len(ids), len(self.known)
         counts = np.fromiter(map(len, ids), np.int64, n)
         total = int(counts.sum())
@@ -108,6 +145,15 @@ class Encoder:
         cut[offsets] = True
         return np.flatnonzero(cut)
 
+    def steps(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first row, last row, ids, offsets) of slices with about STEP_BYTES bytes."""
+        _, offsets = utf8(texts)
+        i = 0
+        while i < len(texts):
+            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + STEP_BYTES, side="right")) - 1)
+            yield i, j, *self.encode(texts.slice(i, j - i))
+            i = j
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a string column without nulls, and the offsets of its rows in them."""
         data, offsets = utf8(texts)
@@ -118,15 +164,11 @@ class Encoder:
                                        [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)])
         coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > CACHED_PIECES:
-            missing = [p for p in distinct if p not in self.known]
-            if len(self.known) + len(missing) > CACHED_PIECES:
-                self._forget()
-                missing = distinct
-        else:
-            missing = [p for p in distinct if p not in self.known]
-        if missing:
-            self._learn(missing)
+        missing = [p for p in distinct if p not in self.known]
+        if len(self.known) + len(missing) > CACHED_PIECES:
+            self._forget()
+            missing = distinct
+        self._learn(missing)
         known = self.known
         number = np.fromiter((known[p] for p in distinct), np.int64, len(distinct))
         each = number[coded.indices.to_numpy()]

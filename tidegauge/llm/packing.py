@@ -85,27 +85,25 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_colu
     ids of each text, so an empty text has one piece of one id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        steps = encoder(tokenizer).steps
         for batch in batches:
-            ids, offsets = encode(batch.column(1))
-            n = np.diff(offsets) + 1
-            ends = np.cumsum(n)
-            data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
-            body = np.ones(len(data), bool)
-            body[ends - 1] = False
-            data[body] = ids
-            data[ends - 1] = end_id
-            pieces = -(-n // capacity)
-            row = np.repeat(np.arange(len(n)), pieces)
-            first = np.cumsum(pieces) - pieces
-            start = (np.arange(len(row)) - first[row]) * capacity
-            length = np.minimum(capacity, n[row] - start)
-            at = np.concatenate([[0], np.cumsum(length)]) * 4
-            packed = pa.Array.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(at.astype(np.int64)),
-                                                                         pa.py_buffer(data.astype("<u4"))])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row)), pa.array(start), pa.array(length), pa.array(n[row]),
-                 packed.cast(pa.binary())], names=["doc_id", "start", "length", "doc_tokens", "ids"])
+            for i, j, ids, offsets in steps(batch.column(1)):
+                n = np.diff(offsets) + 1
+                ends = np.cumsum(n)
+                data = np.full(int(ends[-1]), end_id, np.uint32)
+                body = np.ones(len(data), bool)
+                body[ends - 1] = False
+                data[body] = ids
+                pieces = -(-n // capacity)
+                row = np.repeat(np.arange(len(n)), pieces)
+                start = (np.arange(len(row)) - (np.cumsum(pieces) - pieces)[row]) * capacity
+                length = np.minimum(capacity, n[row] - start)
+                at = np.concatenate([[0], np.cumsum(length)]).astype(np.int32) * 4
+                packed = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(at),
+                                                                       pa.py_buffer(data.astype("<u4"))])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, j - i).take(pa.array(row)), pa.array(start), pa.array(length),
+                     pa.array(n[row]), packed], names=["doc_id", "start", "length", "doc_tokens", "ids"])
 
     kind = dict(docs.dtypes)[id_column]
     return docs.select(F.col(id_column), text_of(text_column).alias("text")).mapInArrow(

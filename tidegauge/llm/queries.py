@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm import (decontaminate, line_dedup, packing, quality, secrets, sharding, simhash, token_counts,
                            token_files, toxicity)
-from tidegauge.llm.tables import table
-from tidegauge.session import configure, shared_dir
+from tidegauge.llm.tables import prepare, table
+from tidegauge.session import shared_dir
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -78,7 +78,7 @@ def pipeline(spark, sf_dir):
 
 
 def _configured(build):
-    return lambda spark, sf_dir: build(configure(spark), sf_dir)
+    return lambda spark, sf_dir: build(prepare(spark), sf_dir)
 
 
 QUERIES = {f.__name__: _configured(f) for f in (

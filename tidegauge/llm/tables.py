@@ -7,7 +7,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.session import shared_dir
+from tidegauge.session import configure, shared_dir
+
+
+# Texts go to Python in batches of so many bytes (a longer text is a batch), which bounds the
+# memory of a worker whatever the lengths of the documents.
+BATCH_BYTES = "8m"
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the session settings that the operators rely on."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return configure(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -34,11 +34,11 @@ def tokenizer_version(path: str) -> str:
 
 def encode_counts(texts: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        steps = encoder(tokenizer).steps
         for batch in batches:
-            _, offsets = encode(batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets))],
-                                             names=["_digest", "n_tokens"])
+            for i, j, _, offsets in steps(batch.column(1)):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(offsets))],
+                                                 names=["_digest", "n_tokens"])
 
     return texts.select("_digest", "text").mapInArrow(run, _SCHEMA)
 
