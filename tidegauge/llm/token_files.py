@@ -118,7 +118,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, part = encoder(tokenizer).encode, TaskContext.get().partitionId()
+        steps, part = encoder(tokenizer).steps, TaskContext.get().partitionId()
         doc_ids: list[int | None] = []
         ids: list[np.ndarray] = []
         held = before = 0
@@ -133,13 +133,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.binary())], names=["shard"])
 
         for batch in batches:
-            flat, offsets = encode(batch.column(1))
-            for doc_id, start, stop in zip(batch.column(0).to_pylist(), offsets[:-1], offsets[1:]):
-                if held and held + stop - start + 1 > shard_ids:
-                    yield close()
-                doc_ids.append(doc_id)
-                ids.append(np.append(flat[start:stop], np.uint32(end_id)))
-                held += int(stop - start) + 1
+            for i, j, flat, offsets in steps(batch.column(1)):
+                for doc_id, start, stop in zip(batch.column(0).slice(i, j - i).to_pylist(), offsets[:-1], offsets[1:]):
+                    if held and held + stop - start + 1 > shard_ids:
+                        yield close()
+                    doc_ids.append(doc_id)
+                    ids.append(np.append(flat[start:stop], np.uint32(end_id)))
+                    held += int(stop - start) + 1
         if doc_ids:
             yield close()
 
