@@ -1,8 +1,9 @@
 """Toxicity scores by weak supervision.
 
-1. Lexicons: in a bounded sample of labelled training rows, word beginnings and whole words that
-   occur in far more toxic documents than chance allows become entries. They are dealt to
-   `LEXICONS` lexicon voters in order of strength; pattern voters look at form.
+1. Lexicons: a short list of common insults, and what a bounded sample of labelled training rows
+   shows: word beginnings and whole words that occur in far more toxic documents than chance
+   allows. These entries are dealt to `LEXICONS` lexicon voters in order of strength; pattern
+   voters look at form.
 2. Every document gets its votes. A generative model (a toxic and a clean class, in each of which a
    voter fires with its own probability) is fitted to the counts of all vote patterns of the
    corpus by expectation maximisation, without labels. Correlations of voters within the classes
@@ -15,7 +16,7 @@ crc32(doc_id as text) modulo 5 is not 0.
 
 Nulls: a null text is an empty one; a null id counts as the empty text in the checksum and is held
 out; null labels are left out. Repeated rows are scored each; of repeated labels the largest holds.
-An empty table gives no rows, and without toxic training labels every score is low. Texts are
+An empty table gives no rows, and without toxic training labels only the listed words count. Texts are
 scored whole. Other columns of the documents are kept by `reject` and not used.
 """
 
@@ -30,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.tables import stored, text_of, utf8
+from tidegauge.llm.tables import ranges, stored, text_of, utf8
 
 LABEL_SAMPLE = 20_000
 FIT_SAMPLE = 20_000
@@ -41,6 +42,14 @@ VOTERS = LEXICONS + PATTERNS
 PREFIXES = (3, 4, 5, 6, 7, 8)
 MAX_WORD = 40
 
+# Common insults, by language; whole words.
+INSULTS = """
+idiot moron stupid loser scum trash worthless pathetic disgusting clown dumb imbecile jerk filth vermin
+dummkopf trottel idioten arschloch abschaum
+imbécile crétin abruti connard ordure
+idiota imbécil estúpido escoria basura
+""".split()
+
 _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
@@ -97,9 +106,7 @@ def learn_entries(sample: DataFrame) -> list[str]:
             first = np.cumsum(sizes) - sizes
             row, word = _per_text(np.repeat(np.arange(len(toxic)), np.diff(offsets)), number)
             many = sizes[word]
-            ends = np.cumsum(many)
-            at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first[word] - (ends - many), many)
-            row, entry = _per_text(np.repeat(row, many), flat[at])
+            row, entry = _per_text(np.repeat(row, many), flat[ranges(first[word], many)])
             hits = np.bincount(entry, toxic[row], len(names)).astype(np.int64)
             docs = np.bincount(entry, minlength=len(names)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(list(names), pa.string()), pa.array(hits), pa.array(docs)],
@@ -141,10 +148,16 @@ class Votes:
 def vote(texts: pa.Array, number_of: dict[str, int]) -> Votes:
     words, number, offsets = word_table(texts)
     own = [[number_of[e] for e in entries_of(w) if e in number_of] for w in words]
-    hit = np.array([o[0] if o else -1 for o in own], np.int64)
-    found = hit[number] if len(words) else np.zeros(0, np.int64)
+    sizes = np.array([len(o) for o in own], np.int64)
+    flat = np.array([e for o in own for e in o], np.int64)
+    first = np.cumsum(sizes) - sizes
     row = np.repeat(np.arange(len(texts)), np.diff(offsets))
-    row, entry = _per_text(row[found >= 0], found[found >= 0])
+    if len(words):
+        hit = sizes[number] > 0
+        row, number = row[hit], number[hit]
+        row, number = _per_text(row, number)
+    many = sizes[number] if len(words) else np.zeros(0, np.int64)
+    row, entry = _per_text(np.repeat(row, many), flat[ranges(first[number], many)] if len(many) else flat[:0])
     votes = np.zeros(len(texts), np.int64)
     np.bitwise_or.at(votes, row, np.int64(1) << (entry % LEXICONS))
     # Form: many capitals, many exclamation marks.
@@ -241,7 +254,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
         "doc_id is not null and toxic is not null").where(~held_out("doc_id")).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(label_sample)
-    entries = learn_entries(texts.join(F.broadcast(known), "doc_id").select("text", "toxic"))
+    learned = learn_entries(texts.join(F.broadcast(known), "doc_id").select("text", "toxic"))
+    listed = [w + "$" for w in INSULTS]
+    entries = listed + [e for e in learned if e not in listed]
     number_of = {e: i for i, e in enumerate(entries)}
     spread = spark.sparkContext.broadcast(number_of)
 
