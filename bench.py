@@ -17,15 +17,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tidegauge import plans  # noqa: E402
 from tidegauge.session import local_session  # noqa: E402
 
-# One Python state call per record; timed only when asked for.
-SLOW = {"stream_vote_early"}
-
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     queries = plans.all_queries()
-    names = os.environ.get("BENCH_QUERIES", "").split() or [n for n in queries if n not in SLOW]
+    names = os.environ.get("BENCH_QUERIES", "").split() or list(queries)
     spark = local_session(cpus, "bench", shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
     queries["default_key"](spark, sf_dir).count()  # start the executors
     times: dict[str, float] = {}

@@ -84,10 +84,10 @@ def lines(spark, *values):
 
 def test_weather_record(spark):
     rows = parse.parse_weather(lines(
-        spark, "725030:14732,2008,1,1,0,5.0,-3.9,1020.4,270,4.6,2,0.0,0.0", "725030:14732,2008,1", "a,b,c,d,e,f,g,h,i,j,k,l,m"))
+        spark, "900017:00042,2019,7,3,12,18.5,9.25,998.5,135,6.5,4,0.5,1.5", "900017:00042,2019,7", "a,b,c,d,e,f,g,h,i,j,k,l,m"))
     good, bad = parse.split_bad(rows)
     r = good.first()
-    assert (r.wsid, r.pressure, r.wind_direction, r.sky_condition_text) == ("725030:14732", 1020.4, 270, "")
+    assert (r.wsid, r.pressure, r.wind_direction, r.sky_condition_text) == ("900017:00042", 998.5, 135, "")
     assert bad.count() == 2
 
 
@@ -119,3 +119,38 @@ def test_properties(spark):
     df = spark.createDataFrame([("r", "# c"), ("r", " b = 2=3 "), ("r", "a=1"), ("r", "junk")], "run string, value string")
     r = parse.parse_properties(df).first()
     assert r.props == {"a": "1", "b": "2=3"} and r.suffix == "12=3"
+
+
+def test_functions_by_name_equal_columns(spark):
+    from tidegauge.functions import geo, sql
+
+    sql.register(spark)
+    df = spark.range(500).selectExpr("cast(-74.3 + id / 700 as float) as x1", "cast(40.3 + id % 97 / 120 as float) as y1",
+                                     "cast(-73.9 - id % 31 / 90 as float) as x2", "cast(40.9 - id % 53 / 80 as float) as y2",
+                                     "cast(id * 131 as int) as cell", "cast(id % 360 as int) as angle")
+    pairs = {"grid_cell(x1, y1)": geo.grid_cell("x1", "y1"), "in_city(x1, y1)": geo.in_city("x1", "y1"),
+             "in_city_strict(x1, y1)": geo.in_city("x1", "y1", strict=True), "cell_center_lon(cell)": geo.cell_center_lon("cell"),
+             "cell_center_lat(cell)": geo.cell_center_lat("cell"), "direction_bucket(angle)": geo.direction_bucket("angle"),
+             "direction_angle(x1, y1, x2, y2)": geo.direction_angle("x1", "y1", "x2", "y2"),
+             "distance_km(x1, y1, x2, y2)": geo.distance_km("x1", "y1", "x2", "y2")}
+    for text, column in pairs.items():
+        assert df.where(~F.expr(text).eqNullSafe(column)).count() == 0, text
+
+
+def test_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from tidegauge.session import fits_broadcast, shared_dir
+
+    def session(**conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k.replace(".", "_"), d)),
+                               sparkContext=SimpleNamespace(applicationId="none"))
+
+    assert shared_dir(session(spark_checkpoint_dir="s3a://x/"), "n").startswith("s3a://x/n-")
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            shared_dir(session(spark_master=master), "n")
+    with pytest.raises(RuntimeError):
+        shared_dir(session(spark_master="local[4]"), "n", allow_local=False)
+    df = spark.range(100).selectExpr("id", "repeat('x', 1000) as s")
+    assert fits_broadcast(df, 100) and not fits_broadcast(df, 99) and not fits_broadcast(df, 100, 100_000)

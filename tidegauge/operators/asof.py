@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators import blocks
 from tidegauge.operators.blocks import BLOCK
+from tidegauge.session import MAX_BROADCAST_BYTES, fits_broadcast
 
 MAX_BROADCAST_VERSIONS = 200_000
 MAX_PER_SLOT = 64
@@ -23,13 +24,13 @@ def asof_join(data: DataFrame, versions: DataFrame, order: str, version_order: s
               max_broadcast: int = MAX_BROADCAST_VERSIONS,
               layout: blocks.BlockLayout | None = None) -> DataFrame:
     """`data` with the `payload` columns of its version in force, NULL before the
-    first one. Two exact plans: up to `max_broadcast` versions (counted first), the
-    data is not shuffled at all; beyond, both sides are cut into blocks."""
+    first one. Two exact plans: up to `max_broadcast` versions of bounded size (both measured
+    first), the data is not shuffled at all; beyond, both sides are cut into blocks."""
     keys = keys or []
     versions = versions.select(*keys, F.col(version_order).cast("bigint").alias("_vo"), *payload).dropna(
         subset=["_vo", *keys])
     n, lo, hi = versions.agg(F.count("_vo"), F.min("_vo"), F.max("_vo")).first()
-    if n <= max_broadcast:
+    if n <= max_broadcast and fits_broadcast(versions, max_broadcast, MAX_BROADCAST_BYTES // 3):
         groups = versions.select(*keys).distinct().count() if keys and n else 1
         joined = _by_interval(data, versions, order, payload, keys, n, groups, lo or 0, hi or 0)
         if joined is not None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.session import fits_broadcast
+
 # Sky condition codes and their texts.
 SKY_CONDITIONS = [
     (0, "None, SKC or CLR"),
@@ -36,8 +38,8 @@ def sky_lookup(spark: SparkSession) -> DataFrame:
 def lookup(data: DataFrame, dimension: DataFrame, left_key: str, right_key: str, how: str = "left",
            max_broadcast: int = MAX_BROADCAST_DIMENSION) -> DataFrame:
     """Join a dimension table: `left` enriches, `left_semi` and `left_anti` keep known
-    and unknown keys. Broadcast only if the dimension is counted small."""
-    if dimension.limit(max_broadcast + 1).count() <= max_broadcast:
+    and unknown keys. Broadcast only if the dimension is measured small."""
+    if fits_broadcast(dimension, max_broadcast):
         dimension = F.broadcast(dimension)
     return data.join(dimension, data[left_key] == dimension[right_key], how)
 
@@ -49,3 +51,9 @@ def sky_enrich(raw: DataFrame) -> DataFrame:
 
 def sky_unknown(raw: DataFrame) -> DataFrame:
     return lookup(raw, sky_lookup(raw.sparkSession), "sky_condition", "code", "left_anti")
+
+
+def station_enrich(raw: DataFrame, stations: DataFrame) -> DataFrame:
+    """Weather records with name, country and place of their station (see STATION_SCHEMA)."""
+    place = stations.select(F.col("id").alias("_id"), "name", "country_code", "lat", "long", "elevation")
+    return lookup(raw, place, "wsid", "_id").drop("_id")

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.session import fits_broadcast
+
 MAX_BROADCAST_MODELS = 100_000
 
 
 def fanout(data: DataFrame, models: DataFrame, key: str = "data_type", model: str = "model",
            max_broadcast: int = MAX_BROADCAST_MODELS) -> DataFrame:
     """One row per record and model registered for its key; a record whose key has no
-    model keeps one row with a NULL model. A small registry (counted first) is
+    model keeps one row with a NULL model. A small registry (measured first) is
     broadcast; a large one is joined by shuffle, where AQE splits hot keys."""
     registry = models.select(key, model).distinct()
-    if registry.limit(max_broadcast + 1).count() <= max_broadcast:
+    if fits_broadcast(registry, max_broadcast):
         registry = F.broadcast(registry)
     return data.join(registry, key, "left")
 
@@ -42,8 +44,9 @@ def vote_timeout(requests: DataFrame, responses: DataFrame, timeout_ms: Column |
                  request: str = "request_id", decider: Column | None = None,
                  keep: list[str] | None = None) -> DataFrame:
     """Votes from the responses that arrive within the timeout of their request; every
-    request gets a row. A request is decided when its `expected`-th response is there,
-    otherwise when the timeout passes: that is its `duration`. Columns:
+    request gets a row. A request is decided by its first `expected` responses when the last of
+    them is there, otherwise when the timeout passes: that is its `duration`. Of responses at
+    one time those with the smaller source come first. Columns:
     requests(request, req_ts), responses(request, resp_ts, processed, result, source),
     times in milliseconds."""
     limit = F.lit(timeout_ms) if isinstance(timeout_ms, int) else timeout_ms
@@ -52,9 +55,13 @@ def vote_timeout(requests: DataFrame, responses: DataFrame, timeout_ms: Column |
     # with very many of them; the votes are summed before they meet the requests again.
     in_time = ((F.col(request) == F.col("_rid")) & (F.col("resp_ts") >= F.col("req_ts"))
                & (F.col("resp_ts") <= F.col("req_ts") + F.col("_limit")))
-    votes = vote(responses.select(request, "resp_ts", "processed", "result", "source")
-                 .join(q.select("_rid", "req_ts", "_limit"), in_time), request, decider, None,
-                 [F.count("resp_ts").alias("_got"), F.max("resp_ts").alias("_last")])
+    heard = (responses.select(request, "resp_ts", "processed", "result", "source")
+             .join(q.select("_rid", "req_ts", "_limit"), in_time))
+    # Spark limits the groups before the shuffle, so a request with very many responses sends
+    # `expected` rows per task.
+    first = Window.partitionBy(request).orderBy("resp_ts", "source", "processed", "result")
+    heard = heard.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= expected)
+    votes = vote(heard, request, decider, None, [F.count("resp_ts").alias("_got"), F.max("resp_ts").alias("_last")])
     out = q.withColumnRenamed("_rid", request).join(votes, request, "left")
     duration = F.when(F.col("_got") >= expected, F.col("_last") - F.col("req_ts")).otherwise(F.col("_limit"))
     return out.select(request, *(keep or []), F.coalesce("processed", F.lit(False)).alias("processed"), "source",

@@ -3,6 +3,8 @@ their batch forms."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tidegauge.fixtures import TABLES, VIEWS, _needs, _text, duck
 from tidegauge.operators import rollup
 from tidegauge.plans import serving, taxi, weather
@@ -42,26 +44,46 @@ QUERIES["stream_asof_keyed"] = lambda s, d: runner.replay(model_join.keyed_versi
     "asof_keyed")
 SQL["stream_asof_keyed"] = serving.SQL["asof_published"]
 
-# A request is out when the watermark has passed its timeout (the early form: or when
-# all its responses are there), so the newest requests stay in the state.
-_DELAY_MS, _LIMIT = 1000, 100
-
-
-def _votes(form, name):
-    return lambda s, d: runner.replay(
-        form(stream_view(s, d, "requests"), stream_view(s, d, "responses"), 3, _LIMIT), name)
-
-
-_NEWEST = ("newest as (select max(t) as t from (select max(req_ts) as t from requests union all "
-           "select max(resp_ts) from responses) u), "
-           "q as (select request_id, any_value(req_ts) as req_ts, count(resp_ts) as got from vt group by request_id) "
-           "select dec.* exclude (data_type) from dec join q using (request_id), newest where ")
-_VOTES = f"with {serving.in_time_sql(str(_LIMIT), 'requests')}, {_NEWEST}"
-QUERIES["stream_vote_timeout"] = _votes(voting.vote_stream, "vote_timeout")
-SQL["stream_vote_timeout"] = duck(_VOTES + f"q.req_ts + {_LIMIT} + 1 <= newest.t - {_DELAY_MS}", "requests", "responses")
-QUERIES["stream_vote_early"] = _votes(voting.vote_stream_early, "vote_early")
-SQL["stream_vote_early"] = duck(
-    _VOTES + f"got >= 3 or q.req_ts + {_LIMIT} + 1 <= newest.t - {_DELAY_MS}", "requests", "responses")
+# A request is out when the watermark has passed its timeout (the early form: or when all its
+# responses are there). The replayed streams end with a late row of their own, which moves the
+# watermark past the last requests, and come in several micro-batches.
+_LIMIT, _PARTS = 100, 2
+
+
+def closed_stream(s, rows, time, name):
+    """`rows` as a stream of `_PARTS` files in the order of time, then one row of request -1."""
+    path = shared_dir(s, name)
+    low, high = rows.agg(F.min(time), F.max(time)).first()
+    part = F.floor((F.col(time) - low) * _PARTS / (high - low + 1))
+    for i in range(_PARTS):
+        rows.where(part == i).coalesce(1).write.mode("append").parquet(path)
+    blank = {"string": F.lit(""), "boolean": F.lit(False)}
+    last = {time: F.lit(high + 10_000_000), "request_id": F.lit(-1)}
+    s.range(1).select(*[last.get(c, blank.get(t, F.lit(0))).cast(t).alias(c) for c, t in rows.dtypes]).write.mode(
+        "append").parquet(path)
+    return streams.files(s, path, rows.schema, max_files=1)
+
+
+def _votes(form, name, own=None):
+    def run(s, d):
+        requests, responses = serving.view(s, d, "requests"), serving.view(s, d, "responses")
+        more = {}
+        if own:
+            requests = serving._timeouts(s, d).withColumnRenamed("tmout", "timeout")
+            more = {"max_timeout_ms": own} if form is voting.vote_stream else {}
+        out = runner.replay(form(closed_stream(s, requests, "req_ts", f"{name}-requests"),
+                                 closed_stream(s, responses, "resp_ts", f"{name}-responses"), 3, _LIMIT, **more), name)
+        return out.where("request_id >= 0")
+    return run
+
+
+_VOTES = "select dec.* exclude (data_type) from dec"
+for _form, _name in ((voting.vote_stream, "vote_timeout"), (voting.vote_stream_early, "vote_early")):
+    QUERIES[f"stream_{_name}"] = _votes(_form, _name)
+    SQL[f"stream_{_name}"] = duck(f"with {serving.in_time_sql(str(_LIMIT), 'requests')} {_VOTES}", "requests", "responses")
+QUERIES["stream_vote_control"] = _votes(voting.vote_stream, "vote_control", own=10_000)
+SQL["stream_vote_control"] = duck(f"with {serving._TIMEOUTS}, {serving.in_time_sql('q.tmout', 'tm')} {_VOTES}",
+                                  "requests", "responses", "controls")
 
 
 def _stream_calendar(s, d):

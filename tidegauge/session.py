@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that change results or are needed by the stateful processors. They
 # are all runtime settings, so they can be applied to a session made elsewhere.
@@ -50,15 +54,24 @@ def local_session(cores: int | str = "*", app: str = "tidegauge",
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path below the folder the cluster names in spark.checkpoint.dir. Only where
-    the session names none (tests, one machine) is a temporary folder used instead."""
+def _local_root(spark: SparkSession) -> str:
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="tidegauge-")
+        atexit.register(shutil.rmtree, _LOCAL_ROOTS[app], ignore_errors=True)
+    return _LOCAL_ROOTS[app]
+
+
+def shared_dir(spark: SparkSession, name: str, allow_local: bool = True) -> str:
+    """A new path below the folder the cluster names in spark.checkpoint.dir. Where the session
+    names none, a temporary folder serves a session with a local master, whose tasks all run in
+    one process, and ends with that process; other sessions are refused."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        app = spark.sparkContext.applicationId
-        if app not in _LOCAL_ROOTS:
-            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="tidegauge-")
-        root = _LOCAL_ROOTS[app]
+        master = spark.conf.get("spark.master", "")
+        if not allow_local or not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
+        root = _local_root(spark)
     return f"{root.rstrip('/')}/{name}-{os.urandom(6).hex()}"
 
 
@@ -68,3 +81,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# What may be broadcast: bytes of the rows as they are sent.
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether a table has at most so many rows and bytes. At most `max_rows` + 1 rows are
+    looked at; strings and bytes count with their length, other columns with 16 bytes."""
+    wide = [c for c, t in df.dtypes if t in ("string", "binary")]
+    size = F.lit(16 * len(df.columns)).cast("bigint")
+    for c in wide:
+        size = size + F.coalesce(F.octet_length(F.col(c).cast("binary")), F.lit(0))
+    rows, total = df.limit(max_rows + 1).agg(F.count("*"), F.sum(size)).first()
+    return rows <= max_rows and (total or 0) <= max_bytes

@@ -7,7 +7,6 @@ batches with the protobuf Python package. A record that cannot be decoded gives
 
 from __future__ import annotations
 
-import importlib.util
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,10 +35,6 @@ MESSAGES: dict[str, list[tuple[str, str, int]]] = {
 _DEFAULTS = {_STRING: "", _INT: 0, _LONG: 0, _DOUBLE: 0.0, _BYTES: b""}
 
 
-def available() -> bool:
-    return importlib.util.find_spec("google") is not None and importlib.util.find_spec("google.protobuf") is not None
-
-
 def schema(message: str) -> T.StructType:
     return T.StructType([T.StructField(n, T._parse_datatype_string(k)) for n, k, _ in MESSAGES[message]])
 

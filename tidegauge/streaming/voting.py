@@ -81,15 +81,25 @@ class Correlate(StatefulProcessor):
         pass
 
 
+def _at_most(timeout: Column, bound: int) -> Column:
+    fits = timeout <= F.lit(bound)
+    return F.when(fits | timeout.isNull(), timeout).otherwise(
+        F.raise_error(F.lit(f"a request has a timeout over {bound} ms")).cast("bigint"))
+
+
 def vote_stream(requests: DataFrame, responses: DataFrame, expected: int, timeout_ms: int = 100,
                 delay: str = "1 second", max_timeout_ms: int | None = None, decider: Column | None = None) -> DataFrame:
     """Streaming form of operators.ensemble.vote_timeout on event time: an interval join
     of the two streams, then one aggregate per request, both in the JVM. A decision is
-    out when the watermark has passed its timeout. Requests carry req_ts and may carry
-    their own `timeout`, up to `max_timeout_ms`; times are milliseconds."""
+    out when the watermark has passed its timeout. Requests carry req_ts; where they carry their
+    own `timeout`, `max_timeout_ms` says how long the join keeps responses, and a request with
+    a longer timeout stops the stream. Times are milliseconds. All responses in time vote, so
+    send a request at most `expected` of them."""
+    if "timeout" in requests.columns and max_timeout_ms is None:
+        raise ValueError("requests with their own timeout need max_timeout_ms")
     bound = max_timeout_ms or timeout_ms
     own = F.col("timeout") if "timeout" in requests.columns else F.lit(timeout_ms)
-    q = requests.select("request_id", "req_ts", F.least(own, F.lit(bound)).cast("bigint").alias("_limit"),
+    q = requests.select("request_id", "req_ts", _at_most(own, bound).cast("bigint").alias("_limit"),
                         F.timestamp_millis("req_ts").alias("req_time")).withWatermark("req_time", delay)
     r = responses.select(F.col("request_id").alias("_rid"), "resp_ts", "processed", "result", "source",
                          F.timestamp_millis("resp_ts").alias("resp_time")).withWatermark("resp_time", delay)
