@@ -228,3 +228,35 @@ def test_stream_continues_a_stored_history(spark, tmp_path):
     stream = change_rollup.daily_change_stream(streams.files(spark, str(tmp_path / "in"), raw.schema), history)
     got = runner.replay(stream, "continued")
     same(got.unionByName(rollup.daily_change(history)), rollup.daily_change(raw))
+
+
+def test_one_read_of_all_batches(spark, tmp_path):
+    """Batches after the snapshot are one scan; compaction keeps rows, and old folders go."""
+    table = UpsertTable(spark, str(tmp_path / "t"), ["k", "year"], partitions=["year"], compact_every=4)
+    for b in range(7):
+        table.write_batch(spark.createDataFrame([(k, 2000 + k % 2, float(b)) for k in range(b, b + 3)],
+                                                "k long, year int, v double"), b)
+    rows = table.read()
+    assert {r.k: r.v for r in rows.collect()} == {k: float(min(k, 6)) for k in range(9)}
+    plan = rows.where("year = 2001")._jdf.queryExecution().toString()
+    assert plan.count("FileScan parquet") <= 2 and "PartitionFilters: [isnotnull(year" in plan
+    assert table._numbers("snapshot") == [3]
+    table.vacuum()
+    assert table._numbers("batch") == [4, 5, 6] and table.read().count() == 9
+
+
+def test_batches_leave_no_runs_behind(spark, tmp_path):
+    import os
+
+    from tidegauge.streaming import incremental
+
+    step = incremental.change_rollup_batches(spark, str(tmp_path), "wsid", "seq", ["day"], ["day"], [], {"total": "v"},
+                                             lambda df, b: closed.extend(df.collect()))
+    closed, rows = [], [(None if i % 3 == 0 else "a", i, None if i // 4 % 3 == 0 else i // 4 % 3, 1.0) for i in range(60)]
+    for b in range(20):
+        step(spark.createDataFrame(rows[3 * b:3 * b + 3], "wsid string, seq long, day int, v double"), b)
+    assert [n for n in os.listdir(tmp_path) if n.startswith("runs")] == []
+    from tidegauge.operators import rollup
+    whole = rollup.change_rollup(spark.createDataFrame(rows, "wsid string, seq long, day int, v double"), "wsid", "seq",
+                                 ["day"], ["day"], [], {"total": "v"})
+    assert sorted(map(str, closed)) == sorted(map(str, whole.select(*closed[0].__fields__).collect()))

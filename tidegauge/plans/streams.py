@@ -50,13 +50,20 @@ SQL["stream_asof_keyed"] = serving.SQL["asof_published"]
 _LIMIT, _PARTS = 100, 2
 
 
-def closed_stream(s, rows, time, name):
-    """`rows` as a stream of `_PARTS` files in the order of time, then one row of request -1."""
+def in_order(s, rows, position, name):
+    """`rows` as `_PARTS` files in the order of a column; returns the folder."""
     path = shared_dir(s, name)
-    low, high = rows.agg(F.min(time), F.max(time)).first()
-    part = F.floor((F.col(time) - low) * _PARTS / (high - low + 1))
+    low, high = rows.agg(F.min(position), F.max(position)).first()
+    part = F.floor((F.col(position) - low) * _PARTS / (high - low + 1))
     for i in range(_PARTS):
         rows.where(part == i).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def closed_stream(s, rows, time, name):
+    """`rows` as a stream in several micro-batches, then one row of request -1."""
+    path = in_order(s, rows, time, name)
+    high = rows.agg(F.max(time)).first()[0]
     blank = {"string": F.lit(""), "boolean": F.lit(False)}
     last = {time: F.lit(high + 10_000_000), "request_id": F.lit(-1)}
     s.range(1).select(*[last.get(c, blank.get(t, F.lit(0))).cast(t).alias(c) for c, t in rows.dtypes]).write.mode(
@@ -120,3 +127,33 @@ QUERIES["batches_daily_change"] = _daily_batches
 SQL["batches_daily_change"] = weather.SQL["daily_change"]
 QUERIES["batches_taxi_predict"] = _predict_batches
 SQL["batches_taxi_predict"] = taxi.SQL["taxi_predict"]
+
+
+# In several micro-batches: state carried from one to the next.
+def _monthly_batches(s, d):
+    table = UpsertTable(s, shared_dir(s, "monthly-batches"), ["wsid", "last_order"])
+    root = shared_dir(s, "monthly-batches-state")
+    months = incremental.monthly_change_batches(s, f"{root}/months", table.write_batch)
+    days = incremental.daily_change_batches(s, f"{root}/days", months)
+    raw = serving.view(s, d, "weather_raw")
+    stream = streams.files(s, in_order(s, raw, "seq", "weather-files"), raw.schema, max_files=1)
+    runner.start(stream, days, shared_dir(s, "monthly-batches-checkpoint"), "monthly_batches",
+                 available_now=True).awaitTermination()
+    return rounded(table.read())
+
+
+def _asof_batches(s, d):
+    table = UpsertTable(s, shared_dir(s, "asof-batches"), ["seq"])
+    step = model_join.per_batch_asof(lambda spark: serving.view(spark, d, "published"), "seq", "seq", ["model"],
+                                     ["data_type"], table.write_batch)
+    cpu = serving.view(s, d, "cpu").select("seq", "data_type")
+    stream = streams.files(s, in_order(s, cpu, "seq", "cpu-files"), cpu.schema, max_files=1)
+    runner.start(stream, step, shared_dir(s, "asof-batches-checkpoint"), "asof_batches",
+                 available_now=True).awaitTermination()
+    return table.read()
+
+
+QUERIES["batches_monthly_change"] = _monthly_batches
+SQL["batches_monthly_change"] = weather.SQL["monthly_change"]
+QUERIES["batches_asof_keyed"] = _asof_batches
+SQL["batches_asof_keyed"] = serving.SQL["asof_published"]

@@ -19,11 +19,13 @@ from tidegauge.sinks import files
 
 class UpsertTable:
     def __init__(self, spark: SparkSession, path: str, pk: list[str], order: str | None = None,
-                 partitions: list[str] | None = None):
-        """`order` decides between rows of one batch; without it a batch must have one
+                 partitions: list[str] | None = None, compact_every: int | None = 500):
+        """A batch that is `compact_every` after the newest snapshot makes the next one; the folders
+        it replaces go when the one after it is made. `order` decides between rows of one batch; without it a batch must have one
         row per key. `partitions` are columns of the key to prune by (year, month)."""
         self.spark, self.path, self.pk, self.order = spark, path.rstrip("/"), pk, order
         self.partitions = partitions or []
+        self.compact_every = compact_every
         if not set(self.partitions) <= set(pk):
             raise ValueError("partition columns must be part of the primary key")
 
@@ -36,14 +38,23 @@ class UpsertTable:
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").partitionBy(*self.partitions).parquet(f"{self.path}/batch={batch_id}")
+        if self.compact_every and batch_id - max(self._numbers("snapshot"), default=-1) >= self.compact_every:
+            self.vacuum()
+            self.compact()
 
     def _parts(self) -> list[DataFrame]:
+        """The newest snapshot and, in one read with the batch number as a partition column, all
+        batches after it."""
         snapshots = self._numbers("snapshot")
         base = snapshots[-1] if snapshots else -1
-        names = [("snapshot", base)] if snapshots else []
-        names += [("batch", n) for n in self._numbers("batch") if n > base]
-        return [self.spark.read.parquet(f"{self.path}/{kind}={n}").withColumn("_batch", F.lit(n).cast("bigint"))
-                for kind, n in names]
+        parts = []
+        if snapshots:
+            parts.append(self.spark.read.parquet(f"{self.path}/snapshot={base}").withColumn("_batch", F.lit(base).cast("bigint")))
+        newer = [f"{self.path}/batch={n}" for n in self._numbers("batch") if n > base]
+        if newer:
+            rows = self.spark.read.option("basePath", self.path).option("mergeSchema", "true").parquet(*newer)
+            parts.append(rows.withColumn("_batch", F.col("batch").cast("bigint")).drop("batch"))
+        return parts
 
     def read(self) -> DataFrame:
         """Current rows. Filters on key columns are pushed below the newest-row choice."""

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators import rollup, taxi
 from tidegauge.operators.rollup import Metric
-from tidegauge.session import materialize
 from tidegauge.sinks import files
 
 Write = Callable[[DataFrame, int], None]
@@ -61,21 +60,24 @@ def advance(runs: DataFrame, state: DataFrame, key: str, trigger: list[str], met
             sums: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """(runs closed by this batch, open runs after it). Only the first run of each key
     can continue the stored one, so the join has one row per key on both sides."""
-    firsts = runs.groupBy(key).agg(F.min("first_order").alias("first_order"))
-    first = runs.join(firsts, [key, "first_order"], "left_semi")
-    rest = runs.join(firsts, [key, "first_order"], "left_anti")
-    pairs = first.alias("r").join(state.alias("s"), F.col(f"r.{key}") == F.col(f"s.{key}"), "full_outer")
-    same = F.lit(True)
+    firsts = runs.groupBy(key).agg(F.min(F.struct(F.col("first_order").isNotNull(), "first_order")).alias("_f")).select(
+        F.col(key).alias("_fk"), F.col("_f.first_order").alias("_fo"))
+    is_first = F.col(key).eqNullSafe(F.col("_fk")) & F.col("first_order").eqNullSafe(F.col("_fo"))
+    first = runs.join(firsts, is_first, "left_semi")
+    rest = runs.join(firsts, is_first, "left_anti")
+    pairs = first.withColumn("_here", F.lit(True)).alias("r").join(
+        state.withColumn("_here", F.lit(True)).alias("s"), F.col(f"r.{key}").eqNullSafe(F.col(f"s.{key}")), "full_outer")
+    same = F.col("r._here") & F.col("s._here")
     for t in trigger:
-        same = same & (F.col(f"r.{t}") == F.col(f"s.{t}"))
+        same = same & F.col(f"r.{t}").eqNullSafe(F.col(f"s.{t}"))
     same = F.coalesce(same, F.lit(False))
     measured = {f"{p}_{m.suffix}" for m in metrics for p in ("n", "mean", "m2", "low", "high")} | set(sums)
     copied = [F.col(f"r.{c}") for c in runs.columns if c not in measured]
     columns = runs.columns
     stored = [F.col(f"s.{c}").alias(c) for c in columns]
-    has_run, has_state = F.col(f"r.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
+    has_run, has_state = F.col("r._here").isNotNull(), F.col("s._here").isNotNull()
     continued = pairs.where(same).select(*copied, *_merged(metrics, sums)).select(*columns)
-    fresh = pairs.where(has_run & ~same).select("r.*")
+    fresh = pairs.where(has_run & ~same).select(*[F.col(f"r.{c}").alias(c) for c in columns])
     now = continued.unionByName(fresh).unionByName(rest)
     ended = pairs.where(has_run & has_state & ~same).select(*stored)
     untouched = pairs.where(~has_run).select(*stored)
@@ -93,7 +95,8 @@ def change_rollup_batches(spark: SparkSession, root: str, key: str, order: str,
         batch.persist()
         try:
             moments = rollup.run_moments(batch, key, order, trigger, labels, metrics, sums)
-            runs = materialize(moments, "runs")
+            moments.write.mode("overwrite").parquet(f"{root}/runs={batch_id}")
+            runs = spark.read.schema(moments.schema).parquet(f"{root}/runs={batch_id}")
         finally:
             batch.unpersist()
         state = snapshots.before(batch_id)
@@ -101,6 +104,8 @@ def change_rollup_batches(spark: SparkSession, root: str, key: str, order: str,
                               else advance(runs, state, key, trigger, metrics, sums))
         snapshots.save(still_open, batch_id)
         write(rollup.finish_moments(closed, key, labels, metrics, sums), batch_id)
+        # The batch is written; what it was computed from is needed no more.
+        files.delete(spark, f"{root}/runs={batch_id}")
 
     return run
 
