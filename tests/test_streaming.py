@@ -260,3 +260,16 @@ def test_batches_leave_no_runs_behind(spark, tmp_path):
     whole = rollup.change_rollup(spark.createDataFrame(rows, "wsid string, seq long, day int, v double"), "wsid", "seq",
                                  ["day"], ["day"], [], {"total": "v"})
     assert sorted(map(str, closed)) == sorted(map(str, whole.select(*closed[0].__fields__).collect()))
+
+
+def test_missing_days_in_a_stream(spark, tmp_path):
+    schema = "wsid string, seq long, day int, v double"
+    rows = [(None if i % 4 == 0 else "a", None if i == 5 else i, None if i // 5 % 3 == 0 else i // 5 % 3,
+             None if i < 12 else 1.0) for i in range(80)]
+    for b in range(4):
+        spark.createDataFrame(rows[20 * b:20 * b + 20], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    args = ("wsid", "seq", ["day"], ["day"], [rollup.Metric("v", "v")], {"total": "v"})
+    stream = change_rollup.change_rollup_stream(streams.files(spark, str(tmp_path / "in"), schema, max_files=1), *args)
+    got = runner.replay(stream, "missing")
+    want = rollup.change_rollup(spark.createDataFrame(rows, schema), *args).select(*got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
