@@ -21,8 +21,9 @@ from tidegauge.llm.tables import stored, text_of
 MIN_WORDS = 50
 MAX_REPEATED = 50
 MAX_RATE = 0.5
-# Bounds of the share of variance that hosts explain; they keep the prior's strength finite.
-LEAST, MOST = 1e-6, 1 - 1e-6
+# The prior weighs as much as so many documents at least and at most. The least keeps one or two
+# documents from condemning a host where hosts differ widely.
+WEAKEST, STRONGEST = 2.0, 1e6
 
 _SPACES = "\t\n\x0b\f\r "
 
@@ -82,8 +83,9 @@ def host_verdicts(rules: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
     # Moments of the beta-binomial: the spread of shares beyond that of drawing documents.
     spread = F.try_divide(F.col("_s") - n * m * m, m * (1 - m)) - (h - 1)
     rho = F.try_divide(spread, n - F.col("_n2") / n - (h - 1))
-    rho = F.least(F.lit(MOST), F.greatest(F.lit(LEAST), F.coalesce(rho, F.lit(LEAST))))
-    prior = total.select(m.alias("_m"), (1 / rho - 1).alias("_strength"))
+    # Hosts that differ no more than chance makes them give no estimate: the strongest prior.
+    strength = F.when(rho > 0, F.least(F.lit(STRONGEST), F.greatest(F.lit(WEAKEST), 1 / rho - 1))).otherwise(STRONGEST)
+    prior = total.select(m.alias("_m"), strength.alias("_strength"))
     # One row.
     shrunk = hosts.join(F.broadcast(prior))
     rate = (F.col("n_failed") + F.col("_m") * F.col("_strength")) / (F.col("n_docs") + F.col("_strength"))

@@ -129,9 +129,9 @@ failed as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base
 hosts as (select source, count(*)::double as n, count(*) filter (base_failed)::double as f from failed group by source),
 total as (select sum(f) / sum(n) as m, sum(n) as nn, count(*)::double as h, sum(n * n) as n2, sum(f * f / n) as s from hosts),
 prior as (
-  select m, 1 / least(1 - 1e-6, greatest(1e-6, coalesce(
-    case when m > 0 and m < 1 and nn - n2 / nn - (h - 1) <> 0
-      then ((s - nn * m * m) / (m * (1 - m)) - (h - 1)) / (nn - n2 / nn - (h - 1)) end, 1e-6))) - 1 as strength from total),
+  select m, case when rho > 0 then least(1e6, greatest(2.0, 1 / rho - 1)) else 1e6 end as strength
+  from (select m, case when m > 0 and m < 1 and nn - n2 / nn - (h - 1) <> 0
+    then ((s - nn * m * m) / (m * (1 - m)) - (h - 1)) / (nn - n2 / nn - (h - 1)) end as rho from total) q),
 verdicts as (select source, (f + m * strength) / (n + strength) > 0.5 as bad from hosts, prior)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not bad as kept
 from failed join verdicts on failed.source is not distinct from verdicts.source
