@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.tables import text_of
+from tidegauge.llm.tables import lean, text_of
 
 Q = 8
 RATE = 0.1
@@ -163,14 +163,20 @@ def find(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int]]
     # Pairs with too few hits in all need no bands.
     pairs, number, hits = np.unique(pair, return_inverse=True, return_counts=True)
     enough = (hits >= index.least[pairs % len(index.codes)])[number]
-    item, pair = item[enough], pair[enough]
+    item = item[enough]
     at = index.at[entry][enough]
     diagonal = (np.repeat(place - starts[text], counts))[enough] - at
     half = index.budgets[item] + 1
     band = diagonal // half
-    rows = np.concatenate([np.stack([pair, band, at]), np.stack([pair, band - 1, at])], axis=1)
-    rows = np.unique(rows, axis=1)
-    groups, shared = np.unique(rows[:2], axis=1, return_counts=True)
+    # Each q-gram of an item once per band: one number for (pair, band), one with the q-gram.
+    low = int(band.min(initial=0)) - 1
+    bands = int(band.max(initial=0)) - low + 1
+    both = np.concatenate([number[enough] * bands + band - low, number[enough] * bands + band - 1 - low])
+    groups, group = np.unique(both, return_inverse=True)
+    longest = max(len(c) for c in index.codes)
+    once = np.unique(group * longest + np.concatenate([at, at])) // longest
+    shared = np.bincount(once, minlength=len(groups))
+    groups = np.stack([pairs[groups // bands], groups % bands + low])
     groups = groups[:, shared >= index.least[groups[0] % len(index.codes)]]
     best: dict[int, list[tuple[int, int, int]]] = {}
     for p, b in groups.T.tolist():
@@ -225,6 +231,7 @@ def occurrences(docs: DataFrame, items: DataFrame, rate: float = RATE, id_column
     rows = docs.select(F.col(id_column), text_of(text_column).alias("text"))
     out = None
     for index in _blocks(items, item_column, item_text, rate):
+        @lean
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             block = Index(*index.value)
             for batch in batches:
@@ -247,6 +254,7 @@ def clean(docs: DataFrame, items: DataFrame, rate: float = RATE, text_column: st
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
     place = docs.columns.index(text_column)
     for index in _blocks(items, item_column, item_text, rate):
+        @lean
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             block = Index(*index.value)
             for batch in batches:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +43,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lean(run: Callable) -> Callable:
+    """A function for mapInArrow whose Python worker returns its memory when a task ends. Workers
+    wait for their next task, and an executor may keep several of them."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return task
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column without nulls, and the offsets of its rows."""
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
@@ -49,6 +69,15 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def steps(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about `most` bytes, at least one row each."""
+    i, n = 0, len(offsets) - 1
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, side="right")) - 1)
+        yield i, min(j, n)
+        i = min(j, n)
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The positions of many slices, one after another."""
     ends = np.cumsum(lengths)
