@@ -210,6 +210,25 @@ QUERIES["sky_enrich"] = lambda s, d: enrich.sky_enrich(_raw(s, d)).select("seq",
 SQL["sky_enrich"] = duck(
     f"with {_SKY} select seq, wsid, sky_condition, condition from weather_raw left join sky on sky_condition = code",
     "weather_raw")
+# Stations from the nations; the records of one station have none.
+_STATION_COLUMNS = ("concat('S', cast(n_nationkey as varchar(10))) as id, n_name as name, substr(n_name, 1, 2) as country_code, "
+                   "cast(n_nationkey as double) * 1.5 as lat, cast(n_regionkey as double) - 3 as long, "
+                   "cast(n_nationkey * 10 as double) as elevation")
+
+
+def _station_enrich(s, d):
+    stations = s.read.parquet(f"{d}/nation.parquet").where("n_nationkey <> 3").selectExpr(
+        "concat('S', cast(n_nationkey as string)) as id", "n_name as name", "substr(n_name, 1, 2) as country_code",
+        "cast(n_nationkey as double) * 1.5D as lat", "cast(n_regionkey as double) - 3 as long",
+        "cast(n_nationkey * 10 as double) as elevation")
+    return rounded(enrich.station_enrich(_raw(s, d).select("seq", "wsid"), stations))
+
+
+QUERIES["station_enrich"] = _station_enrich
+SQL["station_enrich"] = duck(
+    f"select seq, wsid, name, country_code, {r('lat', 'lat')}, {r('long', 'long')}, {r('elevation', 'elevation')} "
+    f"from weather_raw left join (select {_STATION_COLUMNS} from nation where n_nationkey <> 3) st on wsid = st.id",
+    "weather_raw")
 QUERIES["sky_unknown"] = lambda s, d: enrich.sky_unknown(_raw(s, d)).select("seq", "sky_condition")
 SQL["sky_unknown"] = duck(
     f"with {_SKY} select seq, sky_condition from weather_raw where sky_condition not in (select code from sky)",
