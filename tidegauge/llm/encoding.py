@@ -19,12 +19,13 @@ import itertools
 import json
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tidegauge.llm.tables import ranges, utf8
+from tidegauge.llm.tables import ranges, steps, utf8
 
 # Pieces that a Python worker remembers, about 200 bytes each.
 CACHED_PIECES = 500_000
@@ -69,7 +70,7 @@ def _cuts_are_exact(normalizer: dict | None, pre: dict | None) -> bool:
 
 
 class Encoder:
-    """Encodes string columns; made once per Python worker by `encoder`."""
+    """Encodes string columns; lent to tasks by `encoder`."""
 
     def __init__(self, path: str):
         # One thread: Spark runs a worker per core.
@@ -83,13 +84,12 @@ class Encoder:
         self.exact = _cuts_are_exact(normalizer, pre)
         self.lower = normalizer is not None
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.ids = np.zeros(1 << 20, np.uint32)
-        self.starts = np.zeros(CACHED_PIECES + (1 << 16), np.int64)
-        self.counts = np.zeros(CACHED_PIECES + (1 << 16), np.int64)
+        self.ids = np.zeros(1 << 18, np.uint32)
+        self.starts, self.counts = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.used = 0
 
     def _learn(self, pieces: list[bytes]) -> None:
@@ -124,7 +124,7 @@ class Encoder:
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         if at + n > len(self.starts):
-            more = np.zeros(at + n, np.int64)
+            more = np.zeros(len(self.starts) + n, np.int64)
             self.starts, self.counts = np.concatenate([self.starts, more]), np.concatenate([self.counts, more])
         self.ids[self.used:self.used + total] = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, total)
         self.starts[at:at + n] = self.used + np.cumsum(counts) - counts
@@ -147,12 +147,8 @@ class Encoder:
 
     def steps(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, last row, ids, offsets) of slices with about STEP_BYTES bytes."""
-        _, offsets = utf8(texts)
-        i = 0
-        while i < len(texts):
-            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + STEP_BYTES, side="right")) - 1)
+        for i, j in steps(utf8(texts)[1], STEP_BYTES):
             yield i, j, *self.encode(texts.slice(i, j - i))
-            i = j
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a string column without nulls, and the offsets of its rows in them."""
@@ -166,7 +162,7 @@ class Encoder:
         distinct = coded.dictionary.to_pylist()
         missing = [p for p in distinct if p not in self.known]
         if len(self.known) + len(missing) > CACHED_PIECES:
-            self._forget()
+            self.forget()
             missing = distinct
         self._learn(missing)
         known = self.known
@@ -178,12 +174,17 @@ class Encoder:
         return ids, before[np.searchsorted(cuts, offsets)]
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of this Python worker. Workers outlive their tasks, and functions are sent to
-    them by value, so what is to be kept between tasks lives with the imported library."""
+@contextmanager
+def encoder(path: str) -> Iterator[Encoder]:
+    """An encoder for one task. The tokenizer stays with the Python worker, which outlives its
+    tasks; the pieces are forgotten, so that an idle worker holds little memory. (Functions are
+    sent to workers by value, so what is kept lives with the imported library.)"""
     import tokenizers
 
     kept = vars(tokenizers).setdefault("_encoders_of_this_worker", {})
     if path not in kept:
         kept[path] = Encoder(path)
-    return kept[path]
+    try:
+        yield kept[path]
+    finally:
+        kept[path].forget()

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.tables import text_of, utf8
+from tidegauge.llm.tables import lean, steps, text_of, utf8
 
 CUT = 4
 GRAM = 2
@@ -172,15 +172,6 @@ def _binary(rows: np.ndarray) -> pa.Array:
         None, pa.py_buffer(np.arange(len(rows) + 1, dtype=np.int32) * width), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
-def _steps(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about STEP_BYTES bytes, at least one row each."""
-    i, n = 0, len(offsets) - 1
-    while i < n:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + STEP_BYTES, side="right")) - 1)
-        yield i, min(j, n)
-        i = min(j, n)
-
-
 def matches(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc, xx, pos, before, after): in the document with that id (a null one as the largest
     number) and text digest, the gram at line `pos` and so many lines around it repeat an
@@ -188,13 +179,14 @@ def matches(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     rows = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(_LAST)).alias("doc"),
                        F.xxhash64(text_of(text_column)).alias("xx"), text_of(text_column).alias("text"))
 
+    @lean
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers(_BASE), Powers(_WORD_BASE)
         for batch in batches:
             data, offsets = utf8(batch.column(2))
             docs_, xxs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             found = []
-            for i, j in _steps(offsets):
+            for i, j in steps(offsets, STEP_BYTES):
                 lines = Lines(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], *powers)
                 at = fingerprints(lines)
                 doc = lines.doc[at]
@@ -216,6 +208,7 @@ def matches(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
                          pa.array(pos[p].astype(np.int32)), _binary(c[s:s + 100_000])],
                         names=["key", "doc", "xx", "pos", "context"])
 
+    @lean
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = None
         for batch in batches:
@@ -284,6 +277,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "d
     names, place = docs.columns, docs.columns.index(text_column)
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers(_BASE), Powers(_WORD_BASE)
         for batch in batches:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.encoding import encoder
-from tidegauge.llm.tables import stored, text_of
+from tidegauge.llm.tables import lean, stored, text_of
 
 END_ID = 1
 
@@ -84,26 +84,27 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_colu
     before it), length, doc_tokens, ids (little-endian unsigned 32 bit). `end_id` follows the
     ids of each text, so an empty text has one piece of one id."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        steps = encoder(tokenizer).steps
-        for batch in batches:
-            for i, j, ids, offsets in steps(batch.column(1)):
-                n = np.diff(offsets) + 1
-                ends = np.cumsum(n)
-                data = np.full(int(ends[-1]), end_id, np.uint32)
-                body = np.ones(len(data), bool)
-                body[ends - 1] = False
-                data[body] = ids
-                pieces = -(-n // capacity)
-                row = np.repeat(np.arange(len(n)), pieces)
-                start = (np.arange(len(row)) - (np.cumsum(pieces) - pieces)[row]) * capacity
-                length = np.minimum(capacity, n[row] - start)
-                at = np.concatenate([[0], np.cumsum(length)]).astype(np.int32) * 4
-                packed = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(at),
-                                                                       pa.py_buffer(data.astype("<u4"))])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i).take(pa.array(row)), pa.array(start), pa.array(length),
-                     pa.array(n[row]), packed], names=["doc_id", "start", "length", "doc_tokens", "ids"])
+        with encoder(tokenizer) as own:
+            for batch in batches:
+                for i, j, ids, offsets in own.steps(batch.column(1)):
+                    n = np.diff(offsets) + 1
+                    ends = np.cumsum(n)
+                    data = np.full(int(ends[-1]), end_id, np.uint32)
+                    body = np.ones(len(data), bool)
+                    body[ends - 1] = False
+                    data[body] = ids
+                    pieces = -(-n // capacity)
+                    row = np.repeat(np.arange(len(n)), pieces)
+                    start = (np.arange(len(row)) - (np.cumsum(pieces) - pieces)[row]) * capacity
+                    length = np.minimum(capacity, n[row] - start)
+                    at = np.concatenate([[0], np.cumsum(length)]).astype(np.int32) * 4
+                    packed = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(at),
+                                                                           pa.py_buffer(data.astype("<u4"))])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(i, j - i).take(pa.array(row)), pa.array(start), pa.array(length),
+                         pa.array(n[row]), packed], names=["doc_id", "start", "length", "doc_tokens", "ids"])
 
     kind = dict(docs.dtypes)[id_column]
     return docs.select(F.col(id_column), text_of(text_column).alias("text")).mapInArrow(
@@ -113,10 +114,11 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_colu
 def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     """`pieces` with sequence_id and offset. Any table with a column `length` from 1 to
     `capacity`; it must not have columns named sequence_id, offset, _part, _rank or _base.
-    Written once below the shared folder. Offsets of a sequence have no gaps."""
+    Written below the shared folder. Offsets of a sequence have no gaps."""
     spark = pieces.sparkSession
     columns = pieces.columns
 
+    @lean
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -133,7 +135,8 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
                                              names=[*columns, "_part", "_rank"])
 
     schema = ", ".join([*(f"`{c}` {t}" for c, t in pieces.dtypes), "_part long", "_rank long"])
-    numbered = stored(pieces.mapInArrow(number, schema), "pieces")
+    # Stored before it is numbered, so that no task needs two Python workers at once.
+    numbered = stored(stored(pieces, "pieces").mapInArrow(number, schema), "pieces")
 
     counts = numbered.groupBy("_part", "length").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -146,6 +149,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     table = spark.sparkContext.broadcast(np.array(
         [[-s.length, s.first_rank, s.first_pack, s.packs, s.each, s.offset] for s in slots], np.int64).reshape(-1, 6))
 
+    @lean
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         falling, first_rank, first_pack, packs, each, offset = table.value.T
         first_slot = np.searchsorted(falling, -np.arange(capacity + 1))
@@ -180,6 +184,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_col
 def sequences(packed: DataFrame, capacity: int = 2048, pad_id: int = 0) -> DataFrame:
     """One row per sequence: sequence_id, n_tokens, ids (array, padded to `capacity`),
     doc_ids and starts of the pieces in order. A sequence has at most `capacity` pieces."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm import ledger
+from tidegauge.llm.tables import lean
 
 # Kind, pattern, group whose length counts, least length, RE2 pattern that every
 # text with a finding matches. The first three kinds are the base rules.
@@ -54,6 +55,7 @@ def find(text: str, kinds: list[int]) -> list[tuple[int, int, int]]:
 
 def scan(texts: DataFrame) -> DataFrame:
     """Findings of each (_digest, text). A linear prefilter leaves the texts a rule may match."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(1)

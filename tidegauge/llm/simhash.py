@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.components import connected
-from tidegauge.llm.tables import stored, text_of
+from tidegauge.llm.tables import lean, stored, text_of
 
 SEED = 42
 SHARD_LIMIT = 512
@@ -84,6 +84,7 @@ def fingerprints(docs: DataFrame, words: int = 3, text_column: str = "text", nam
     """Columns `keep` (all by default) of `docs` and the fingerprint as a signed 64-bit integer."""
     keep = docs.columns if keep is None else keep
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes, offsets = [], [0]
@@ -183,6 +184,7 @@ def links(prints: DataFrame, radius: int = 2, shard_limit: int = SHARD_LIMIT) ->
     if not 0 <= radius <= 2:
         raise ValueError("the shards are exact for a radius of at most 2")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [x for values in batch.column("vs").to_pylist() for x in forest(values, radius)]

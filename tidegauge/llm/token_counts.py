@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm import ledger
 from tidegauge.llm.encoding import encoder
-from tidegauge.llm.tables import text_of
+from tidegauge.llm.tables import lean, text_of
 
 _SCHEMA = "_digest string, n_tokens long"
 
@@ -33,12 +33,13 @@ def tokenizer_version(path: str) -> str:
 
 
 def encode_counts(texts: DataFrame, tokenizer: str) -> DataFrame:
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        steps = encoder(tokenizer).steps
-        for batch in batches:
-            for i, j, _, offsets in steps(batch.column(1)):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(offsets))],
-                                                 names=["_digest", "n_tokens"])
+        with encoder(tokenizer) as own:
+            for batch in batches:
+                for i, j, _, offsets in own.steps(batch.column(1)):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(offsets))],
+                                                     names=["_digest", "n_tokens"])
 
     return texts.select("_digest", "text").mapInArrow(run, _SCHEMA)
 

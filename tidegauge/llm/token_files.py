@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.encoding import encoder, vocabulary_size
-from tidegauge.llm.tables import text_of
+from tidegauge.llm.tables import lean, text_of
 
 MAGIC = b"TGIDS1\0\0"
 HEADER = 8 + 8 * 8
@@ -115,10 +115,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     order = [F.col("doc_id").asc_nulls_first(), F.col("_row")]
     rows = (rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        steps, part = encoder(tokenizer).steps, TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         doc_ids: list[int | None] = []
         ids: list[np.ndarray] = []
         held = before = 0
@@ -132,14 +133,15 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             ids.clear()
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.binary())], names=["shard"])
 
-        for batch in batches:
-            for i, j, flat, offsets in steps(batch.column(1)):
-                for doc_id, start, stop in zip(batch.column(0).slice(i, j - i).to_pylist(), offsets[:-1], offsets[1:]):
-                    if held and held + stop - start + 1 > shard_ids:
-                        yield close()
-                    doc_ids.append(doc_id)
-                    ids.append(np.append(flat[start:stop], np.uint32(end_id)))
-                    held += int(stop - start) + 1
+        with encoder(tokenizer) as own:
+            for batch in batches:
+                for i, j, flat, offsets in own.steps(batch.column(1)):
+                    for doc_id, start, stop in zip(batch.column(0).slice(i, j - i).to_pylist(), offsets[:-1], offsets[1:]):
+                        if held and held + stop - start + 1 > shard_ids:
+                            yield close()
+                        doc_ids.append(doc_id)
+                        ids.append(np.append(flat[start:stop], np.uint32(end_id)))
+                        held += int(stop - start) + 1
         if doc_ids:
             yield close()
 
@@ -151,6 +153,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids (little-endian unsigned 32
     bit) of every document in the files."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column(0):
@@ -170,10 +173,10 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     files = _files(spark, path).select("content")
     docs = files.mapInArrow(run, "_part long, doc_id long, _start long, n_tokens long, ids binary")
-    # One row per writing task.
+    # One row of two numbers per writing task, so small that it is broadcast; the ids stay in place.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = part_sizes(spark, path).withColumn("_base", F.coalesce(F.sum("_ids").over(before), F.lit(0)))
-    return docs.join(parts.select("_part", "_base"), "_part").select(
+    return docs.join(F.broadcast(parts.select("_part", "_base")), "_part").select(
         "doc_id", (F.col("_base") + F.col("_start")).alias("start"), "n_tokens", "ids")
 
 
@@ -183,6 +186,7 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 def part_sizes(spark: SparkSession, path: str) -> DataFrame:
     """Ids of each part, from the headers of its shards."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             head = [np.frombuffer(data.as_buffer(), "<i8", 8, 8) for data in batch.column(0)]

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.tables import ranges, stored, text_of, utf8
+from tidegauge.llm.tables import lean, ranges, steps, stored, text_of, utf8
 
 LABEL_SAMPLE = 20_000
 FIT_SAMPLE = 20_000
@@ -41,6 +41,8 @@ PATTERNS = 2
 VOTERS = LEXICONS + PATTERNS
 PREFIXES = (3, 4, 5, 6, 7, 8)
 MAX_WORD = 40
+# Bytes of text that are worked on at a time.
+STEP_BYTES = 1 << 20
 
 # Common insults, by language; whole words.
 INSULTS = """
@@ -95,8 +97,9 @@ def _per_text(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def learn_entries(sample: DataFrame) -> list[str]:
     """The entries, strongest first, from labelled texts (text, toxic)."""
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, j - i) for b in batches for i, j in steps(utf8(b.column(0))[1], STEP_BYTES)):
             words, number, offsets = word_table(batch.column(0))
             toxic = batch.column(1).to_numpy()
             names: dict[str, int] = {}
@@ -235,7 +238,9 @@ class Model:
     weights: np.ndarray
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        return self.of(vote(texts, self.number_of), len(texts))
+        parts = [self.of(vote(texts.slice(i, j - i), self.number_of), j - i)
+                 for i, j in steps(utf8(texts)[1], STEP_BYTES)]
+        return np.concatenate([np.zeros(0), *parts])
 
     def of(self, v: Votes, n: int) -> np.ndarray:
         entries = len(self.number_of)
@@ -260,8 +265,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     number_of = {e: i for i, e in enumerate(entries)}
     spread = spark.sparkContext.broadcast(number_of)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, j - i) for b in batches for i, j in steps(utf8(b.column(1))[1], STEP_BYTES)):
             v = vote(batch.column(1), spread.value)
             offsets = np.searchsorted(v.row, np.arange(batch.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -288,6 +294,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     """doc_id, held_out, score, predicted of every row."""
     spread = docs.sparkSession.sparkContext.broadcast((model.number_of, model.weights))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s = Model(*spread.value).scores(batch.column(2))
@@ -305,6 +312,7 @@ def reject(docs: DataFrame, model: Model, text_column: str = "text", most: float
     spread = docs.sparkSession.sparkContext.broadcast((model.number_of, model.weights))
     place = docs.columns.index(text_column)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(Model(*spread.value).scores(batch.column(place).fill_null("")) < most))
