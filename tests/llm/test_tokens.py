@@ -159,13 +159,16 @@ def test_counts_and_their_cache(spark, docs, odd, none, texts, folder):
     for r in first.collect():
         n = len(plain(BYTE, texts[r.doc_id]))
         assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(texts[r.doc_id].encode()), n, n > 512)
-    store = spark.read.option("recursiveFileLookup", "true").schema("_digest string").parquet(folder)
-    assert store.count() == docs.select(F.md5(text_of())).distinct().count()
+
+    def stored():
+        return spark.read.option("recursiveFileLookup", "true").schema("_digest string").parquet(folder).count()
+
+    assert stored() == docs.select(F.md5(text_of())).distinct().count()
     rows = token_counts.token_counts(docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text")), BYTE, folder)
     assert rows.count() == docs.count() + odd.count()
     # Only the texts that the first run had not seen were encoded.
     new = odd.select(text_of().alias("t")).join(docs.select(text_of().alias("t")), "t", "left_anti").distinct().count()
-    assert store.count() == docs.select(F.md5(text_of())).distinct().count() + new
+    assert stored() == docs.select(F.md5(text_of())).distinct().count() + new
     odd_rows = token_counts.token_counts(odd, BYTE, folder).collect()
     assert sorted((r.doc_id or 0, r.n_tokens) for r in odd_rows) == sorted(
         (r[0] or 0, len(plain(BYTE, r[1] or ""))) for r in odd.select("doc_id", "text").collect())

@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.tables import text_of
+from tidegauge.llm.tables import stored, text_of
 
 
 def digest(text_column: str) -> Column:
@@ -47,6 +47,8 @@ def resolve(rows: DataFrame, store: str, version: str, schema: str,
     # One text of each digest; map-side aggregation leaves one of a hot group per task.
     missing = texts.join(known, "_digest", "left_anti").groupBy("_digest").agg(F.first("text").alias("text"))
     work(missing).write.parquet(f"{store}/version={version}/batch={os.urandom(8).hex()}")
-    found = read_store(spark, store, version, schema).dropDuplicates(["_digest"])
+    # Stored by itself, so that the join with the rows has no aggregate in its stage and Spark can
+    # divide the rows of a hot digest.
+    found = stored(read_store(spark, store, version, schema).dropDuplicates(["_digest"]), "found")
     keyed = rows.withColumn("_digest", digest(text_column)).drop(text_column)
     return keyed, found
