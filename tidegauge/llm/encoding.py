@@ -175,9 +175,10 @@ class Encoder:
 
 
 @contextmanager
-def encoder(path: str) -> Iterator[Encoder]:
+def encoder(path: str, keep: bool = False) -> Iterator[Encoder]:
     """An encoder for one task. The tokenizer stays with the Python worker, which outlives its
-    tasks; the pieces are forgotten, so that an idle worker holds little memory. (Functions are
+    tasks; the pieces are forgotten, so that an idle worker holds little memory, unless they are
+    to be kept for the next task (at most about 100 MB). (Functions are
     sent to workers by value, so what is kept lives with the imported library.)"""
     import tokenizers
 
@@ -187,4 +188,5 @@ def encoder(path: str) -> Iterator[Encoder]:
     try:
         yield kept[path]
     finally:
-        kept[path].forget()
+        if not keep:
+            kept[path].forget()

@@ -133,7 +133,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             ids.clear()
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.binary())], names=["shard"])
 
-        with encoder(tokenizer) as own:
+        with encoder(tokenizer, keep=True) as own:
             for batch in batches:
                 for i, j, flat, offsets in own.steps(batch.column(1)):
                     for doc_id, start, stop in zip(batch.column(0).slice(i, j - i).to_pylist(), offsets[:-1], offsets[1:]):
