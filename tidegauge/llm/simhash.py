@@ -22,6 +22,7 @@ one component. An empty table gives no rows. Texts are read whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -30,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.components import connected
+from tidegauge.llm.similar import similar_components, sketches
 from tidegauge.llm.tables import lean, stored, text_of
 
 SEED = 42
@@ -216,21 +218,25 @@ def components(docs: DataFrame, words: int = 3, radius: int = 2, id_column: str
     return rows.join(found, "v").select("doc_id", F.col("v").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = 5, radius: int = 2, id_column: str = "doc_id",
+def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_column: str = "doc_id",
              text_column: str = "text") -> DataFrame:
-    """The documents with one row of each component: the one with the smallest id (a null id is
-    the last), then the smallest text digest. All columns are kept."""
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"),
-                       F.md5(text_of(text_column).cast("binary")).alias("digest"))
-    rows = stored(fingerprints(rows, words, name="v", keep=["doc_id", "digest"]), "fingerprints")
+    """The documents with one row of each component of texts whose `words`-word shingles have a
+    Jaccard similarity of at least `similarity`: the one with the smallest id (a null id is the
+    last), then the smallest text digest. All columns are kept. Pairs are exact, so fingerprints
+    are not used: texts at 0.8 differ by about ten bits, more than shards of 64 bits can bound."""
+    bound = Fraction(str(similarity))
+    digest = F.md5(text_of(text_column).cast("binary"))
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), digest.alias("digest"))
+    rows = stored(sketches(rows, words, bound, ["doc_id", "digest"]), "sketches")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("digest").alias("d"))
-    members = stored(rows.groupBy("v").agg(F.min(order).alias("first")), "fingerprints")
-    roots = connected(links(members.select("v"), radius))
+    members = stored(rows.groupBy("v").agg(F.min(order).alias("first"), F.first("n").alias("n"),
+                                           F.first("prefix").alias("prefix")), "members")
+    texts = docs.select(digest.alias("digest"), text_of(text_column).alias("text"))
+    roots = similar_components(members.withColumn("digest", F.col("first.d")), texts, words, bound)
     named = members.join(roots, F.col("v") == F.col("node"), "left").select(
         F.coalesce("root", "v").alias("root"), "first")
     first = named.groupBy("root").agg(F.min("first").alias("first")).select(
         F.col("first.id").alias("_id"), F.col("first.d").alias("_digest"))
-    own = F.md5(text_of(text_column).cast("binary"))
-    kept = docs.withColumn("_own", own).join(
+    kept = docs.withColumn("_own", digest).join(
         first, F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi")
     return kept.dropDuplicates([id_column, "_own"]).drop("_own")
