@@ -181,3 +181,58 @@ def test_equal_slices_hash_alike_and_windows_have_a_fingerprint(texts):
             assert chosen & set(range(i, i + line_dedup.WINDOW))
         if low < high:
             assert chosen & set(range(low, high))
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_variants_hide_no_exact_copy(spark, partitions):
+    """An edited variant comes first, then two exact copies: the last goes as if there were no variant."""
+    rng = np.random.default_rng(11)
+    with_, without = {}, {}
+    for k in range(120):
+        passage = prose(rng, 55).split()
+        variant = [f"x{rng.integers(1 << 30)}" if i % (15, 10, 25)[k % 3] == 7 else w for i, w in enumerate(passage)]
+        for n, words in enumerate((variant, passage, passage)):
+            at = 3 * k + n
+            with_[at] = prose(rng, 60) + "\n" + " ".join(words) + "\n" + prose(rng, 60)
+            if n:
+                without[at] = with_[at]
+
+    def removed(docs):
+        df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(partitions)
+        return {r.doc_id: {i for s in r._removed for i in range(s.start, s.end)}
+                for r in line_dedup.dedup_lines(df).collect() if r.doc_id % 3 == 2}
+
+    some, plain = removed(with_), removed(without)
+    assert sum(map(bool, plain.values())) > 110
+    assert all(some[d] >= plain[d] for d in plain)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 5), st.lists(st.integers(0, 2), min_size=8, max_size=8)),
+                max_size=30))
+def test_all_earlier_rows_are_compared(rows):
+    rows = sorted(rows, key=lambda r: r[:2])
+    key, ident = (np.array([r[i] for r in rows], np.int64) for i in (0, 1))
+    pos, xx = np.arange(len(rows)), np.zeros(len(rows), np.int64)
+    context = np.array([r[2] for r in rows], np.uint32).reshape(-1, 2, line_dedup.REACH)
+    context = (context * np.cumprod(context != 0, axis=2)).astype(np.uint32).reshape(-1, 2 * line_dedup.REACH)
+
+    def agree(a, b):
+        n = 0
+        while n < len(a) and a[n] == b[n] != 0:
+            n += 1
+        return n
+
+    want, half = {}, line_dedup.REACH
+    for i in range(len(rows)):
+        earlier = [j for j in range(i) if key[j] == key[i]]
+        if earlier:
+            want[i] = tuple(max(agree(context[i][s], context[j][s]) for j in earlier)
+                            for s in (slice(0, half), slice(half, None)))
+    heads, later, left, right, whole = line_dedup._resolve(key, ident, xx, pos, context, np.arange(len(rows)))
+    assert dict(zip(later.tolist(), zip(left.tolist(), right.tolist()))) == want
+    # The heads alone answer for all rows, whatever batch a later row comes in.
+    for i, found in want.items():
+        earlier = [j for j in heads.tolist() if j < i and key[j] == key[i]]
+        assert found == tuple(max(agree(context[i][s], context[j][s]) for j in earlier)
+                              for s in (slice(0, half), slice(half, None)))

@@ -5,15 +5,17 @@ A text is a sequence of lines; a long line is cut further after words whose hash
 a row are hashed, and the smallest hash (the last of equals) of every `WINDOW` in a row is a
 fingerprint. Any run of GRAM + WINDOW - 1 equal lines in two places has a common fingerprint.
 
-Each fingerprint is shuffled with its position and the hashes of the lines around it. The first
-occurrence (by document id, then text digest, then position) is the original; every later one
-is compared with it line by line in both directions. WINDOW - 1 lines each way are enough: a
-longer run has its next fingerprint by then. What matches is marked in the later document,
+Each fingerprint is shuffled with its position and the hashes of the lines around it. Every
+occurrence is compared with all earlier ones (by document id, then text digest, then position),
+line by line and on each side by itself: it agrees with one of them up to a line if it is not the
+first with the same lines up to there, so no pairs are made. WINDOW - 1 lines each way are enough:
+a longer run has its next fingerprint by then. What matches is marked in the later document,
 marked lines that touch are one run, and runs of at least `min_words` words are deleted.
 
-Fingerprints are resolved within a batch of documents before the shuffle: of a frequent line one
-row per batch is sent, whatever its share of the corpus. A run is deleted only if an equal run
-remains in an earlier place.
+Fingerprints are resolved within a batch of documents before the shuffle: of a frequent passage
+one row per batch is sent, of a frequent line one per batch and distinct context. Every deleted
+line stands in an earlier place next to the lines it was matched with; the parts of a run may
+stand in several such places.
 
 Nulls: a null text is an empty one and becomes it; a null id counts as the largest. Rows with equal
 id and text are one document and are treated alike. An empty table gives no rows. Texts are
@@ -144,22 +146,45 @@ def _context(lines: Lines, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _extend(mine: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lines that agree before and after the gram."""
-    same = (mine == other) & (mine != 0)
-    run = np.cumprod(same.reshape(-1, 2, REACH), axis=2).sum(axis=2)
-    return run[:, 0], run[:, 1]
+def _reach(group: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """For each row, how many lines of its side (nearest first) an earlier row of its group also
+    has, at most. Rows with equal lines up to a level are numbered anew level by level."""
+    n = len(group)
+    out, rows, code = np.zeros(n, np.int64), np.arange(n), group.astype(np.uint64)
+    for level in range(REACH):
+        inside = side[rows, level] != 0
+        rows, code = rows[inside], code[inside]
+        _, first, code = np.unique(code << np.uint64(32) | side[rows, level], return_index=True, return_inverse=True)
+        seen = first[code] < np.arange(len(rows))
+        out[rows[seen]] += 1
+        # A row alone with its lines matches no further.
+        many = np.bincount(code, minlength=1)[code] > 1
+        rows, code = rows[many], code[many].astype(np.uint64)
+    return out
 
 
 def _resolve(key: np.ndarray, ident: np.ndarray, xx: np.ndarray, pos: np.ndarray, context: np.ndarray, order: np.ndarray):
-    """In sorted order: the head of each key, and for the other rows how far they agree with it."""
+    """In sorted order: the rows that others have to be compared with, and the rows of a key but
+    for its first, with how far earlier rows of the key agree with them on either side. Rows that
+    agree as far as their context goes on both sides are no heads: for each side, the first row
+    with those lines is one."""
+    if not len(order):
+        return order, order, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    k, d, x, p = key[order], ident[order], xx[order], pos[order]
+    # The same place of one document, from equal rows, counts once.
+    once = np.concatenate([[True], (k[1:] != k[:-1]) | (d[1:] != d[:-1]) | (x[1:] != x[:-1]) | (p[1:] != p[:-1])])
+    order = order[once]
     k = key[order]
-    new = np.concatenate([[True], k[1:] != k[:-1]]) if len(k) else np.zeros(0, bool)
-    head = order[np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))] if len(k) else order
-    own = (ident[order] == ident[head]) & (xx[order] == xx[head]) & (pos[order] == pos[head])
-    later = order[~new & ~own]
-    left, right = _extend(context[later], context[head[~new & ~own]])
-    return order[new], later, left, right
+    new = np.concatenate([[True], k[1:] != k[:-1]])
+    group = np.cumsum(new) - 1
+    shared = np.flatnonzero((np.bincount(group) > 1)[group])
+    sides = context[order[shared]]
+    left, right = _reach(group[shared], sides[:, :REACH]), _reach(group[shared], sides[:, REACH:])
+    later = ~new[shared]
+    whole = later & (left == (sides[:, :REACH] != 0).sum(axis=1)) & (right == (sides[:, REACH:] != 0).sum(axis=1))
+    head = np.ones(len(order), bool)
+    head[shared[whole]] = False
+    return order[head], order[shared[later]], left[later], right[later], whole[later]
 
 
 _ROW = "key long, doc long, xx long, pos int, context binary"
@@ -197,7 +222,8 @@ def matches(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
             key, doc, pos, context = (np.concatenate(x) for x in zip(*found))
             ident, xx = docs_[doc], xxs[doc]
             order = np.lexsort((pos, xx, ident, key))
-            heads, later, left, right = _resolve(key, ident, xx, pos, context, order)
+            heads, later, left, right, whole = _resolve(key, ident, xx, pos, context, order)
+            later, left, right = later[whole], left[whole], right[whole]
             done = np.stack([left, right], axis=1).astype(np.int32)
             # Resolved rows need no partner; they travel under their document's digest.
             for part, k, c in ((heads, key[heads], context[heads]), (later, xx[later], done)):
@@ -223,12 +249,17 @@ def matches(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
                 continue
             key, ident, xx, pos = (batch.column(c).to_numpy() for c in range(4))
             context = utf8(batch.column(4))[0].view(np.uint32).reshape(-1, 2 * REACH)
+            known = 0
             if head is not None:
-                key, ident, xx, pos = (np.concatenate([[h], x]) for h, x in zip(head[:4], (key, ident, xx, pos)))
+                known = len(head[0])
+                key, ident, xx, pos = (np.concatenate([h, x]) for h, x in zip(head[:4], (key, ident, xx, pos)))
                 context = np.concatenate([head[4], context])
-            heads, later, left, right = _resolve(key, ident, xx, pos, context, np.arange(len(key)))
-            last = heads[-1]
-            head = key[last], ident[last], xx[last], pos[last], context[last:last + 1].copy()
+            heads, later, left, right, _ = _resolve(key, ident, xx, pos, context, np.arange(len(key)))
+            # The heads of the last key stay for the next batch, which may go on with it.
+            last = heads[key[heads] == key[-1]]
+            head = key[last], ident[last], xx[last], pos[last], context[last]
+            fresh = later >= known
+            later, left, right = later[fresh], left[fresh], right[fresh]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ident[later]), pa.array(xx[later]), pa.array(pos[later].astype(np.int32)),
                  pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32))],
