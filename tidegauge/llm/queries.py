@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidegauge.llm import (decontaminate, line_dedup, packing, quality, secrets, sharding, simhash, token_counts,
-                           token_files, toxicity)
+from tidegauge.llm import (decontaminate, importance, line_dedup, packing, pii, quality, secrets, sharding, simhash,
+                           token_counts, token_files, toxicity)
 from tidegauge.llm.tables import prepare, table
 from tidegauge.session import shared_dir
 
@@ -71,6 +71,20 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op12_pii(spark, sf_dir):
+    found = F.col("found")
+    counts = [F.size(F.filter(found, lambda x, k=k: x["base"] & (x["kind"] == k))).cast("long").alias(f"n_{name}")
+              for k, name in enumerate(pii.KINDS)]
+    return pii.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", *counts, F.sha2(pii.listed(found, base=True).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(found, base=False).alias("spans"))
+
+
+def op13_importance(spark, sf_dir):
+    rows = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -83,7 +97,7 @@ def _configured(build):
 
 QUERIES = {f.__name__: _configured(f) for f in (
     op1_packing, op2_token_files, op3_token_counts, op4_sharding, op5_decontaminate, op6_secrets, op7_simhash,
-    op8_line_dedup, op9_quality, op10_toxicity, pipeline)}
+    op8_line_dedup, op9_quality, op10_toxicity, op12_pii, op13_importance, pipeline)}
 
 SQL: dict[str, str] = {}
 
@@ -136,3 +150,41 @@ verdicts as (select source, (f + m * strength) / (n + strength) > 0.5 as bad fro
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not bad as kept
 from failed join verdicts on failed.source is not distinct from verdicts.source
 """
+
+# CRC-32 byte by byte, with the table made from its polynomial.
+SQL["op13_importance"] = r"""
+with recursive tab as (
+  select i, i::bigint as c, 0 as step from range(256) r(i)
+  union all
+  select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, step + 1 from tab where step < 8),
+crc as (select list(c order by i) as tab from tab where step = 8),
+docs as (select row_number() over () as r, doc_id, true as ours,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+texts as (select r, ours, text from docs union all
+  select 0, false, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') from benchmark),
+words as (select r, ours, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as w from texts),
+distinct_words as (select w, hex(encode(w)) as x from (select distinct w from words) q),
+hashed as (
+  select w, xor(list_reduce(list_prepend(4294967295::bigint,
+      list_transform(range(len(x) // 2), lambda i: ('0x' || substr(x, 2 * i::integer + 1, 2))::bigint)),
+    lambda c, b: xor(c >> 8, tab[xor(c & 255, b) + 1])), 4294967295) % 10000 as bucket
+  from distinct_words, crc),
+found as (select r, ours, bucket from words join hashed using (w)),
+s as (select bucket, count(*) filter (ours) as s, count(*) filter (not ours) as t from found group by bucket),
+total as (select coalesce(sum(s), 0)::double as ss, coalesce(sum(t), 0)::double as tt from s),
+gain as (select bucket, floor(1000 * ln((t::double + 1) * (ss + 10000) / ((s::double + 1) * (tt + 10000))))::bigint as g
+  from s, total),
+sums as (select r, count(*)::bigint as n, sum(g)::bigint as g from found join gain using (bucket) where ours group by r),
+scored as (
+  select docs.r, doc_id, coalesce(n, 0)::bigint as n_features, coalesce(floor(g::double / n), 0)::bigint as weight,
+    floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double)
+      / 4294967296::double)))::bigint as noise
+  from docs left join sums using (r)),
+ranked as (
+  select *, weight + noise as score, row_number() over (partition by n_features >= 20
+      order by weight + noise desc, doc_id nulls last, n_features) as place,
+    count(*) filter (n_features >= 20) over () as many
+  from scored)
+select doc_id, n_features, weight, score,
+  case when n_features >= 20 and place <= many * 10 // 100 then place end::bigint as rank from ranked
+"""
