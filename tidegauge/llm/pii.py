@@ -26,7 +26,9 @@ import unicodedata
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -163,7 +165,6 @@ DIGIT_WORDS = {w: str(i % 10) for i, words in enumerate((
     "four vier quatre cuatro", "five fünf cinq cinco", "six sechs seis", "seven sieben sept siete",
     "eight acht huit ocho", "nine neun neuf nueve")) for w in words.split()}
 REPEATS = {"double": 2, "triple": 3}
-PLUS = {"plus", "más"}
 # Words for the signs in the same languages.
 AT_WORDS = "at|arobase|arroba|klammeraffe"
 DOT_WORDS = "dot|punkt|point|punto"
@@ -172,37 +173,48 @@ DOMAINS = set("com org net edu gov mil int info biz io co ai app dev me tv eu uk
               "it nl pt br pl cz se no dk fi ru jp cn kr test example".split())
 
 _DIGIT = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
-_SPELLED = re.compile(
-    rf"(?i)\b(?:(?P<plus>plus|más)(?=[ -]+(?:{_DIGIT}|[0-9])(?![^\W\d_]))|(?:(?P<many>double|triple)[ -]+)?(?P<digit>{_DIGIT}))\b")
+_GAP = r"[ \t]{0,2}[ \t-][ \t]{0,2}"
+_MANY = "|".join(REPEATS)
+_ITEM = re.compile(rf"(?i)(?:({_MANY})[ -])?({_DIGIT})")
+_RUN = re.compile(rf"(?i)\b(?:(?:{_MANY})[ -])?(?:{_DIGIT})(?:{_GAP}(?:(?:{_MANY})[ -])?(?:{_DIGIT}))*\b")
+_DIGIT_BEFORE = re.compile(rf"[0-9]({_GAP})\Z")
+_DIGIT_AFTER = re.compile(rf"({_GAP})[0-9]")
+_DOT_BEFORE = re.compile(rf"(?i)(?:[ \t](?:{DOT_WORDS})|[\[({{<][ \t]{{0,3}}(?:{DOT_WORDS}|\.)[ \t]{{0,3}}[\])}}>])[ \t]{{0,3}}\Z")
+_DOT_AFTER = re.compile(rf"(?i)[ \t]{{0,3}}(?:[ \t](?:{DOT_WORDS})[ \t]|[\[({{<][ \t]{{0,3}}(?:{DOT_WORDS}|\.)[ \t]{{0,3}}[\])}}>])")
+_PLUS = re.compile(rf"(?i)\b(?:plus|más)[ -]{{1,3}}(?=(?:{_MANY}|{_DIGIT})\b|[0-9])")
 _LETTER_DIGIT = re.compile(r"(?<=[0-9])[OoIl](?=[0-9])")
-_GAP = re.compile(r"[ \t]*-?[ \t]*")
+_AROUND = 16
 
 
-def spelled_digits(text: str) -> list[tuple[int, int, str]]:
-    """Digit words to digits. The space between one and a digit beside it goes, and a spelled plus
-    before digits becomes the sign."""
-    edits: list[tuple[int, int, str]] = []
-    for m in _SPELLED.finditer(text):
-        if m["plus"]:
-            gap = _GAP.match(text, m.end()).end()
-            edits.append((m.start(), gap, "+"))
-            continue
+def _spelled_runs(text: str) -> Iterator[tuple[int, int, str]]:
+    """Digit words to digits, in runs. The space between a run and a digit beside it goes. One word
+    alone is a digit only between digits or beside a disguised dot."""
+    for m in _RUN.finditer(text):
         start, end = m.span()
-        digit = DIGIT_WORDS[m["digit"].lower()] * REPEATS.get((m["many"] or "").lower(), 1)
-        # Space before it goes if a digit, spelled or not, ends there.
-        low = edits[-1][1] if edits else 0
-        gap = start
-        while gap > low and start - gap < 3 and text[gap - 1] in " \t-":
-            gap -= 1
-        if gap < start and gap > 0 and (gap == low and edits and edits[-1][2][-1:].isdigit() or text[gap - 1] in "0123456789"):
-            start = gap
-        # And after it if a plain digit begins there.
-        after = _GAP.match(text, end).end()
-        if end < after <= end + 3 and text[after:after + 1].isascii() and text[after:after + 1].isdigit():
-            end = after
-        edits.append((start, end, digit))
-    letters = [(m.start(), m.end(), "0" if m[0] in "Oo" else "1") for m in _LETTER_DIGIT.finditer(text)]
-    return sorted([*edits, *letters]) if letters else edits
+        digits = "".join(DIGIT_WORDS[d.lower()] * REPEATS.get(many.lower(), 1) for many, d in _ITEM.findall(m[0]))
+        before, after = text[max(0, start - _AROUND):start], text[end:end + _AROUND]
+        left, right = _DIGIT_BEFORE.search(before), _DIGIT_AFTER.match(after)
+        if len(digits) > 1 or (left and right) or _DOT_BEFORE.search(before) or _DOT_AFTER.match(after):
+            yield (start - (len(left[1]) if left else 0), end + (len(right[1]) if right else 0), digits)
+
+
+def _in_order(edits: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Edits by place; of edits that overlap the first one stays."""
+    out: list[tuple[int, int, str]] = []
+    for e in sorted(edits):
+        if not out or e[0] >= out[-1][1]:
+            out.append(e)
+    return out
+
+
+def spelled_digits(text: str, hints: int = -1) -> list[tuple[int, int, str]]:
+    """Digit words, a spelled plus before them and letters between digits."""
+    edits = list(_spelled_runs(text)) if hints & SPELLED else []
+    if hints & PLUSES:
+        edits += [(m.start(), m.end(), "+") for m in _PLUS.finditer(text)]
+    if hints & LETTERS:
+        edits += [(m.start(), m.end(), "0" if m[0] in "Oo" else "1") for m in _LETTER_DIGIT.finditer(text)]
+    return _in_order(edits)
 
 
 _BRACKETED = re.compile(rf"(?i)[ \t]{{0,3}}[\[({{<][ \t]{{0,3}}(?:(?P<at>{AT_WORDS}|@|a)|(?P<dot>{DOT_WORDS}|\.))[ \t]{{0,3}}[\])}}>][ \t]{{0,3}}")
@@ -214,7 +226,6 @@ _NUMBER_DOT = re.compile(rf"(?i)(?<=[0-9])[ \t]{{1,3}}(?:{DOT_WORDS})[ \t]{{1,3}
 _SPACED = re.compile(r"(?<=[A-Za-z0-9])(?:[ \t]{1,3}@[ \t]{0,3}|@[ \t]{1,3})(?=[A-Za-z0-9-]{1,63}[ \t]{0,3}\.)")
 _SPACED_DOT = re.compile(r"(?<=[A-Za-z0-9])[ \t]{1,3}\.[ \t]{0,3}(?=[A-Za-z0-9])")
 _LABEL = re.compile(r"[A-Za-z0-9-]{1,63}")
-_AT_HINT = re.compile(rf"(?i)[ _-](?:{AT_WORDS})[ _-]")
 
 
 def _spelled_dots(text: str, start: int, end: int) -> list[tuple[int, int, str]]:
@@ -230,18 +241,21 @@ def _host_end(text: str, start: int, end: int) -> int:
     return stop
 
 
-def signs(text: str) -> list[tuple[int, int, str]]:
+def signs(text: str, hints: int = -1) -> list[tuple[int, int, str]]:
     """Disguised at and dot signs to the signs."""
-    edits = [(m.start(), m.end(), "@" if m["at"] else ".") for m in _BRACKETED.finditer(text)]
-    edits += [(m.start(), m.end(), ".") for m in _NUMBER_DOT.finditer(text)]
-    if "@" in text:
+    edits: list[tuple[int, int, str]] = []
+    if hints & BRACKETS:
+        edits += [(m.start(), m.end(), "@" if m["at"] else ".") for m in _BRACKETED.finditer(text)]
+    if hints & DOTS:
+        edits += [(m.start(), m.end(), ".") for m in _NUMBER_DOT.finditer(text)]
+    if hints & SPACES:
         for m in _SPACED.finditer(text):
             edits.append((m.start(), m.end(), "@"))
             at = m.end()
             while (label := _LABEL.match(text, at)) and (dot := _SPACED_DOT.match(text, label.end())):
                 edits.append((dot.start(), dot.end(), "."))
                 at = dot.end()
-    if _AT_HINT.search(text):
+    if hints & DOTS and hints & ATS:
         for m in _BARE.finditer(text):
             dots = _spelled_dots(text, m.start("host"), _host_end(text, *m.span("host")))
             if dots:
@@ -249,35 +263,54 @@ def signs(text: str) -> list[tuple[int, int, str]]:
                 while text[gap - 1] in " _-":
                     gap -= 1
                 edits += [*_spelled_dots(text, m.start(), gap), (gap, m.start("host"), "@"), *dots]
-    out: list[tuple[int, int, str]] = []
-    for e in sorted(edits):
-        if not out or e[0] >= out[-1][1]:
-            out.append(e)
+    return _in_order(edits)
+
+
+# What a text must match for a rule or a transducer to have work in it, as RE2 patterns, which
+# Arrow tries on a whole batch. They look at the text as it stands, so a text that the first
+# transducer changes is taken to match all.
+SPELLED, PLUSES, LETTERS, BRACKETS, DOTS, ATS, SPACES, ADDRESSES = (1 << i for i in range(8))
+_NEAR_DOT = rf"(?:{DOT_WORDS}|\.)"
+HINTS = {
+    SPELLED: rf"(?i)\b(?:{_DIGIT}|{_MANY})[ \t-]+(?:{_DIGIT})\b|[0-9][ \t-]+(?:{_DIGIT})\b"
+             rf"|{_NEAR_DOT}[ \t\])}}>]+(?:{_DIGIT})\b|\b(?:{_DIGIT})[ \t\[({{<]+{_NEAR_DOT}",
+    PLUSES: r"(?i)\b(?:plus|más)[ -]",
+    LETTERS: r"[0-9][OoIl][0-9]",
+    BRACKETS: rf"(?i)[\[({{<][ \t]*(?:{AT_WORDS}|@|a|{DOT_WORDS}|\.)[ \t]*[\])}}>]",
+    DOTS: rf"(?i)[ \t](?:{DOT_WORDS})[ \t]",
+    ATS: rf"(?i)[ _-](?:{AT_WORDS})[ _-]",
+    SPACES: r"[A-Za-z0-9](?:[ \t]+@|@[ \t])",
+    ADDRESSES: r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]",
+}
+
+
+def hints_of(texts: pa.Array) -> np.ndarray:
+    """The hints of each text, as bits."""
+    out = np.zeros(len(texts), np.int64)
+    for bit, pattern in HINTS.items():
+        out |= pc.match_substring_regex(texts, pattern).to_numpy(zero_copy_only=False).astype(np.int64) * bit
     return out
 
 
-TRANSDUCERS: tuple[Callable[[str], list[tuple[int, int, str]]], ...] = (homoglyphs, spelled_digits, signs)
-
-
-def find(text: str) -> list[tuple[int, int, int, bool]]:
+def find(text: str, hints: int = -1) -> list[tuple[int, int, int, bool]]:
     """(kind number, start, end, whether a base rule found it), by kind, then start."""
-    out = []
-    base = [list(rule(text)) for rule in RULES]
     chain: list[Edited] = []
     plain = text
-    for transduce in TRANSDUCERS:
-        edits = transduce(plain)
+    for transduce in (lambda t, _: homoglyphs(t), spelled_digits, signs):
+        edits = transduce(plain, -1 if chain else hints)
         if edits:
             chain.append(Edited(plain, edits))
             plain = chain[-1].text
+    out = []
     for kind, rule in enumerate(RULES):
-        spans = {(s, e): True for s, e in base[kind]}
-        starts = [s for s, _ in base[kind]]
+        base = list(rule(text)) if rule is not ips or hints & ADDRESSES else []
+        spans = dict.fromkeys(base, True)
+        starts = [s for s, _ in base]
         for span in rule(plain) if chain else ():
             for step in reversed(chain):
                 span = step.source(span)
             i = bisect_right(starts, span[0]) - 1
-            if i < 0 or base[kind][i][1] < span[1]:
+            if i < 0 or base[i][1] < span[1]:
                 spans.setdefault(span, False)
         out += [(kind, s, e, own) for (s, e), own in sorted(spans.items())]
     return out
@@ -292,8 +325,9 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[{"kind": k, "start": s, "end": e, "base": b} for k, s, e, b in find(t.as_py())]
-                     for t in batch.column(1)]
+            texts = batch.column(1)
+            found = [[{"kind": k, "start": s, "end": e, "base": b} for k, s, e, b in find(t.as_py(), h)]
+                     for t, h in zip(texts, hints_of(texts).tolist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _ARROW)], names=["doc_id", "found"])
 
     rows = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text"))
@@ -301,10 +335,10 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
                                               T.StructField("found", T._parse_datatype_string(_SPANS))]))
 
 
-def redacted(text: str) -> str:
+def redacted(text: str, hints: int = -1) -> str:
     """The text with every span replaced by its kind; spans that overlap are replaced as one."""
     out, at = [], 0
-    for start, end, kind in sorted((s, e, k) for k, s, e, _ in find(text)):
+    for start, end, kind in sorted((s, e, k) for k, s, e, _ in find(text, hints)):
         if start >= at:
             out += (text[at:start], f"[{KINDS[kind].upper()}]")
         at = max(at, end)
@@ -320,7 +354,9 @@ def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = list(batch.columns)
-            columns[place] = pa.array([redacted(t.as_py()) for t in columns[place]], columns[place].type)
+            texts = columns[place]
+            columns[place] = pa.array([redacted(t.as_py(), h) for t, h in zip(texts, hints_of(texts).tolist())],
+                                      texts.type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return rows.mapInArrow(run, rows.schema)
