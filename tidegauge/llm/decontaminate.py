@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.tables import lean, text_of
+from tidegauge.llm.tables import lean, mapped, text_of
 
 Q = 8
 RATE = 0.1
@@ -251,7 +251,6 @@ def occurrences(docs: DataFrame, items: DataFrame, rate: float = RATE, id_column
 def clean(docs: DataFrame, items: DataFrame, rate: float = RATE, text_column: str = "text",
           item_column: str = "item_id", item_text: str = "text") -> DataFrame:
     """The documents without any benchmark passage, with all their columns."""
-    schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
     place = docs.columns.index(text_column)
     for index in _blocks(items, item_column, item_text, rate):
         @lean
@@ -263,5 +262,5 @@ def clean(docs: DataFrame, items: DataFrame, rate: float = RATE, text_column: st
                     for t, *_ in find(block, texts):
                         keep[first + t] = False
                 yield batch.filter(pa.array(keep))
-        docs = docs.mapInArrow(run, schema)
+        docs = mapped(docs, run)
     return docs

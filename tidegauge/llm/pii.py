@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.tables import lean, text_of
+from tidegauge.llm.tables import lean, mapped, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -348,18 +348,16 @@ def redacted(text: str, hints: int = -1) -> str:
 def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """`docs` with the spans in the text replaced by "[EMAIL]", "[IP]", "[CARD]" or "[PHONE]"."""
     place = docs.columns.index(text_column)
-    rows = docs.withColumn(text_column, text_of(text_column))
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = list(batch.columns)
-            texts = columns[place]
-            columns[place] = pa.array([redacted(t.as_py(), h) for t, h in zip(texts, hints_of(texts).tolist())],
-                                      texts.type)
+            texts = columns[place].fill_null("")
+            columns[place] = pa.array([redacted(t.as_py(), h) for t, h in zip(texts, hints_of(texts).tolist())], texts.type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return rows.mapInArrow(run, rows.schema)
+    return mapped(docs, run)
 
 
 def listed(found: Column, base: bool) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidegauge.llm import (decontaminate, importance, line_dedup, packing, pii, quality, secrets, sharding, simhash,
+from tidegauge.llm import (decontaminate, hard_negatives, importance, line_dedup, packing, pii, quality, secrets, sharding, simhash,
                            token_counts, token_files, toxicity)
 from tidegauge.llm.tables import prepare, table
 from tidegauge.session import shared_dir
@@ -16,6 +16,15 @@ SHARDS = [f"shard-{i:02d}" for i in range(32)]
 SLOTS = 4093
 
 
+def _of_kind(kind):
+    # One parameter only: Spark gives a second one the position of the element.
+    return lambda x: x["kind"] == kind
+
+
+def _count(spans, test):
+    return F.size(F.filter(spans, test)).cast("long")
+
+
 def op1_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     pieces = packing.encode_pieces(docs, public_tokenizers.path(BYTE_BPE))
@@ -45,8 +54,7 @@ def op5_decontaminate(spark, sf_dir):
 def op6_secrets(spark, sf_dir):
     found = secrets.scan_paths(table(spark, sf_dir, "documents"), shared_dir(spark, "secret-ledger"))
     f = F.col("findings")
-    counts = [F.size(F.filter(f, lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{secrets.RULES[k][0]}")
-              for k in range(secrets.BASE_KINDS)]
+    counts = [_count(f, _of_kind(k)).alias(f"n_{secrets.RULES[k][0]}") for k in range(secrets.BASE_KINDS)]
     return found.select("doc_id", *counts, F.sha2(secrets.spans(f, base=True).cast("binary"), 256).alias("base_sha256"),
                         secrets.spans(f, base=False).alias("spans"))
 
@@ -71,10 +79,17 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    label = F.col("label").cast("long")
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
 def op12_pii(spark, sf_dir):
     found = F.col("found")
-    counts = [F.size(F.filter(found, lambda x, k=k: x["base"] & (x["kind"] == k))).cast("long").alias(f"n_{name}")
-              for k, name in enumerate(pii.KINDS)]
+    own = F.filter(found, lambda x: x["base"])
+    counts = [_count(own, _of_kind(k)).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
     return pii.scan(table(spark, sf_dir, "documents")).select(
         "doc_id", *counts, F.sha2(pii.listed(found, base=True).cast("binary"), 256).alias("base_sha256"),
         pii.listed(found, base=False).alias("spans"))
@@ -97,7 +112,7 @@ def _configured(build):
 
 QUERIES = {f.__name__: _configured(f) for f in (
     op1_packing, op2_token_files, op3_token_counts, op4_sharding, op5_decontaminate, op6_secrets, op7_simhash,
-    op8_line_dedup, op9_quality, op10_toxicity, op12_pii, op13_importance, pipeline)}
+    op8_line_dedup, op9_quality, op10_toxicity, op11_hard_negatives, op12_pii, op13_importance, pipeline)}
 
 SQL: dict[str, str] = {}
 
@@ -151,6 +166,27 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from failed join verdicts on failed.source is not distinct from verdicts.source
 """
 
+SQL["op11_hard_negatives"] = """
+with e as (
+  select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select a.vec_id as anchor_id, e.vec_id as id, a.label = e.label as same, list_dot_product(a.v, e.v)::bigint as score
+  from e a join e on a.vec_id <> e.vec_id where a.vec_id % 50 = 0),
+positives as (
+  select * from (select *, row_number() over (partition by anchor_id order by score desc, id) as place
+    from scores where same) q where place <= 5),
+negatives as (
+  select p.anchor_id, p.id as positive_id, n.id as negative_id, p.score as positive_score, n.score as negative_score,
+    row_number() over (partition by p.anchor_id, p.id order by n.score desc, n.id)::integer as rank
+  from positives p join scores n on n.anchor_id = p.anchor_id and not n.same
+    and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from negatives where rank <= 3
+"""
+
 # CRC-32 byte by byte, with the table made from its polynomial.
 SQL["op13_importance"] = r"""
 with recursive tab as (

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
-from itertools import accumulate, combinations
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -31,34 +31,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.components import connected
+from tidegauge.llm.shingles import shingle_hashes
 from tidegauge.llm.similar import similar_components, sketches
-from tidegauge.llm.tables import lean, stored, text_of
+from tidegauge.llm.tables import Folders, carried, lean, stored, text_of
+from tidegauge.session import fits_broadcast
 
-SEED = 42
 SHARD_LIMIT = 512
+# Rows that a join may broadcast, if their bytes allow it.
+BROADCAST_ROWS = 1_000_000
 
-# A-Z to a-z and the other white space to the space.
-_FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz     ")
 # Each bit of a byte in a lane of its own.
 _LANES = (np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
           .copy().view(np.uint64).ravel())
 
 
-def shingle_hashes(text: bytes, words: int) -> list[int]:
-    """XXH64 of each run of `words` words of a text in UTF-8, joined by spaces, in lower case."""
-    from xxhash import xxh64_intdigest as xxh
-
-    parts = text.translate(_FOLD).split()
-    if not parts:
-        return []
-    if len(parts) <= words:
-        return [xxh(b" ".join(parts), SEED)]
-    joined = b" ".join(parts)
-    ends = list(accumulate(len(p) + 1 for p in parts))
-    starts = [0, *ends]
-    return [xxh(joined[s:e - 1], SEED) for s, e in zip(starts, ends[words - 1:])]
-
-
 def majority(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """For each slice of the hashes, the bits set in over half of them."""
     out = np.zeros(len(offsets) - 1, np.uint64)
@@ -225,18 +211,32 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_column
     last), then the smallest text digest. All columns are kept. Pairs are exact, so fingerprints
     are not used: texts at 0.8 differ by about ten bits, more than shards of 64 bits can bound."""
     bound = Fraction(str(similarity))
-    digest = F.md5(text_of(text_column).cast("binary"))
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), digest.alias("digest"))
-    rows = stored(sketches(rows, words, bound, ["doc_id", "digest"]), "sketches")
+    folders = Folders(docs.sparkSession)
+    digest = F.md5(text_of(text_column).cast("binary")).alias("digest")
+    rows = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text"), digest)
+    texts = rows
+    rows = folders.store(sketches(rows, words, bound, ["doc_id", "digest"]), "sketches")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("digest").alias("d"))
-    members = stored(rows.groupBy("v").agg(F.min(order).alias("first"), F.first("n").alias("n"),
-                                           F.first("prefix").alias("prefix")), "members")
-    texts = docs.select(digest.alias("digest"), text_of(text_column).alias("text"))
-    roots = similar_components(members.withColumn("digest", F.col("first.d")), texts, words, bound)
-    named = members.join(roots, F.col("v") == F.col("node"), "left").select(
-        F.coalesce("root", "v").alias("root"), "first")
-    first = named.groupBy("root").agg(F.min("first").alias("first")).select(
-        F.col("first.id").alias("_id"), F.col("first.d").alias("_digest"))
-    kept = docs.withColumn("_own", digest).join(
-        first, F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi")
-    return kept.dropDuplicates([id_column, "_own"]).drop("_own")
+    members = folders.store(rows.groupBy("v").agg(F.min(order).alias("first")), "members")
+    roots = similar_components(rows, members.select("v", "first.id", F.col("first.d").alias("digest")), texts, words, bound,
+                               folders)
+    first = members.join(roots, F.col("v") == F.col("node"), "left").groupBy(F.coalesce("root", "v").alias("root")).agg(
+        F.min("first").alias("first")).select(F.col("first.id").alias("_id"), F.col("first.d").alias("_digest"))
+
+    def same(a: DataFrame, b: DataFrame):
+        return (a["digest"] == b["_digest"]) & a["doc_id"].eqNullSafe(b["_id"])
+
+    # What goes is less than what stays, and rows that repeat are less still; both are of ids and digests only.
+    own = folders.store(rows.groupBy("doc_id", "digest").agg(F.count("*").alias("n")), "own")
+    kept = folders.store(own.join(first, same(own, first), "left_semi"), "kept")
+    ends = [F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")]
+    named = own.select(*ends)
+    lost = stored(named.join(kept, same(kept, named), "left_anti"), "lost")
+    repeated = stored(kept.where("n > 1").select(*ends), "repeated")
+    folders.close()
+    lost, repeated = (F.broadcast(x) if fits_broadcast(x, BROADCAST_ROWS) else x for x in (lost, repeated))
+    all_rows = carried(docs, F.col(id_column).alias("doc_id"), digest)
+    left = all_rows.join(lost, same(all_rows, lost), "left_anti")
+    once = left.join(repeated, same(left, repeated), "left_anti")
+    again = left.join(repeated, same(left, repeated), "left_semi").dropDuplicates(["doc_id", "digest"])
+    return once.unionByName(again).select("row.*")

@@ -11,8 +11,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.session import configure, shared_dir
+from tidegauge.sinks.files import delete
 
 
 # Texts go to Python in batches of so many bytes (a longer text is a batch), which bounds the
@@ -43,6 +45,49 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column name for F.col, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def carried(df: DataFrame, *more: Column, name: str = "row") -> DataFrame:
+    """All columns of `df` in one struct, beside others, so that no names clash; `name.*` gives
+    them back."""
+    return df.select(F.struct(*[F.col(quoted(c)) for c in df.columns]).alias(name), *more)
+
+
+def mapped(df: DataFrame, run: Callable, schema: T.StructType | None = None) -> DataFrame:
+    """`df.mapInArrow(run, schema)` for columns of any names; the schema of `df` by default. The batches
+    that `run` gets and yields have columns by place, with names of their own."""
+    schema = df.schema if schema is None else schema
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, names=[f"c{i}" for i in range(batch.num_columns)])
+
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    types = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)])
+    return plain.mapInArrow(renamed, types).toDF(*schema.names)
+
+
+class Folders:
+    """Tables that one operation needs until its result is stored; `close` deletes them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        path = shared_dir(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        for path in self.paths:
+            delete(self.spark, path)
+        self.paths.clear()
+
+
 def lean(run: Callable) -> Callable:
     """A function for mapInArrow whose Python worker returns its memory when a task ends. Workers
     wait for their next task, and an executor may keep several of them."""

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.tables import lean, ranges, steps, stored, text_of, utf8
+from tidegauge.llm.tables import lean, mapped, ranges, steps, stored, text_of, utf8
 
 LABEL_SAMPLE = 20_000
 FIT_SAMPLE = 20_000
@@ -317,4 +317,4 @@ def reject(docs: DataFrame, model: Model, text_column: str = "text", most: float
         for batch in batches:
             yield batch.filter(pa.array(Model(*spread.value).scores(batch.column(place).fill_null("")) < most))
 
-    return docs.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in docs.dtypes))
+    return mapped(docs, run)
