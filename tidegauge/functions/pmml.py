@@ -20,6 +20,9 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Rows of a document's fields to predictions.
+Run = Callable[[np.ndarray], np.ndarray]
+
 # Trees with more leaves than this are evaluated by the vectorised UDF.
 MAX_EXPRESSION_LEAVES = 64
 
@@ -126,6 +129,22 @@ class Document:
             "TreeModel": self._tree, "MiningModel": self._forest, "NeuralNetwork": self._network}
         return build[self.model.tag](columns)
 
+    @property
+    def vectorised(self) -> bool:
+        """Whether `score` is a vectorised function rather than an expression."""
+        return self.model.tag in ("MiningModel", "NeuralNetwork") or (
+            self.model.tag == "TreeModel" and self._leaves(self.model) > MAX_EXPRESSION_LEAVES)
+
+    def runner(self) -> tuple[list[str], Run]:
+        """Columns and a numpy function from rows of them (missing values as 0) to predictions, for
+        workers that get a document when they run."""
+        build: dict[str, Callable[[], tuple[list[str], Run]]] = {
+            "RegressionModel": self._regression_run, "GeneralRegressionModel": self._general_run,
+            "TreeModel": lambda: (self.fields, self._tree_run()), "MiningModel": lambda: (self.fields, self._forest_run()),
+            "NeuralNetwork": lambda: (self.fields, self._network_run())}
+        fields, run = build[self.model.tag]()
+        return [column_name(f) for f in fields], run
+
     # Linear models -------------------------------------------------------------
 
     @staticmethod
@@ -159,6 +178,42 @@ class Document:
                    "power": lambda e: F.pow(e, F.lit(1 / float(self.model.get("linkParameter", 1))))}
         return inverse[link](total)
 
+    def _regression_run(self) -> tuple[list[str], Run]:
+        table = self.model.find("RegressionTable")
+        terms = [(p.get("name"), float(p.get("coefficient")), float(p.get("exponent", 1)))
+                 for p in table.findall("NumericPredictor")]
+        start = float(table.get("intercept", 0))
+
+        def run(x: np.ndarray) -> np.ndarray:
+            total = np.full(len(x), start)
+            for i, (_, weight, power) in enumerate(terms):
+                total = total + weight * (x[:, i] if power == 1 else x[:, i] ** power)
+            return total
+
+        return [t[0] for t in terms], run
+
+    def _general_run(self) -> tuple[list[str], Run]:
+        cells = [(c.get("parameterName"), c.get("predictorName"), float(c.get("value")))
+                 for c in self.model.find("PPMatrix").findall("PPCell")]
+        betas = [(p.get("parameterName"), float(p.get("beta"))) for p in self.model.find("ParamMatrix").findall("PCell")]
+        names = list(dict.fromkeys(c[1] for c in cells))
+        link, power = self.model.get("linkFunction", "identity"), float(self.model.get("linkParameter", 1))
+        inverse = {"identity": lambda e: e, "log": np.exp, "logit": lambda e: 1 / (1 + np.exp(-e)),
+                   "power": lambda e: e ** (1 / power)}[link]
+
+        def run(x: np.ndarray) -> np.ndarray:
+            total = np.zeros(len(x))
+            for parameter, beta in betas:
+                term = np.full(len(x), beta)
+                for own, name, exponent in cells:
+                    if own == parameter:
+                        column = x[:, names.index(name)]
+                        term = term * (column if exponent == 1 else column ** exponent)
+                total = total + term
+            return inverse(total)
+
+        return names, run
+
     # Trees ---------------------------------------------------------------------
 
     def _distribution(self, node: ET.Element, classes: list[str]) -> list[float]:
@@ -182,9 +237,8 @@ class Document:
 
     def _tree(self, columns: list[str]) -> Column:
         classes = self.classes if self.model.get("functionName") == "classification" else None
-        if self._leaves(self.model) > MAX_EXPRESSION_LEAVES:
-            flat = self._flatten(self.model, lambda n: [self._label(n, classes)])
-            return self._udf(lambda x: flat.apply(x)[:, 0], columns)
+        if self.vectorised:
+            return self._udf(self._tree_run(), columns)
 
         def holds(p: tuple) -> Column:
             if p[0] == "const":
@@ -212,6 +266,11 @@ class Document:
 
         return value(self.model.find("Node"))
 
+    def _tree_run(self) -> Run:
+        classes = self.classes if self.model.get("functionName") == "classification" else None
+        flat = self._flatten(self.model, lambda n: [self._label(n, classes)])
+        return lambda x: flat.apply(x)[:, 0]
+
     def _flatten(self, tree: ET.Element, output: Callable[[ET.Element], list[float]]) -> FlatTree:
         index = {f: i for i, f in enumerate(self.fields)}
         rows: list[list] = []
@@ -255,6 +314,9 @@ class Document:
         return FlatTree(*[np.array(c) for c in cols[:5]], out, root)
 
     def _forest(self, columns: list[str]) -> Column:
+        return self._udf(self._forest_run(), columns)
+
+    def _forest_run(self) -> Run:
         seg = self.model.find("Segmentation")
         method = seg.get("multipleModelMethod")
         trees = [s.find("TreeModel") for s in seg.findall("Segment")]
@@ -263,7 +325,7 @@ class Document:
         if self.model.get("functionName") == "regression":
             flat = [self._flatten(t, lambda n: [self._label(n, None)]) for t in trees]
             scale = 1.0 if method == "sum" else 1.0 / len(flat)
-            return self._udf(lambda x: sum(f.apply(x)[:, 0] for f in flat) * scale, columns)
+            return lambda x: sum(f.apply(x)[:, 0] for f in flat) * scale
         classes = self.classes
 
         def votes(node: ET.Element) -> list[float]:
@@ -274,11 +336,14 @@ class Document:
 
         flat = [self._flatten(t, votes) for t in trees]
         labels = np.array([float(c) for c in classes])
-        return self._udf(lambda x: labels[np.argmax(sum(f.apply(x) for f in flat), axis=1)], columns)
+        return lambda x: labels[np.argmax(sum(f.apply(x) for f in flat), axis=1)]
 
     # Networks ------------------------------------------------------------------
 
     def _network(self, columns: list[str]) -> Column:
+        return self._udf(self._network_run(), columns)
+
+    def _network_run(self) -> Run:
         inputs = {n.get("id"): n.find("DerivedField/FieldRef").get("field")
                   for n in self.model.find("NeuralInputs")}
         index = {f: i for i, f in enumerate(self.fields)}
@@ -309,7 +374,7 @@ class Document:
             # Softmax keeps the order of its inputs, so the class needs only the largest.
             return h[:, 0] if classes is None else classes[np.argmax(h, axis=1)]
 
-        return self._udf(run, columns)
+        return run
 
     # Vectorised evaluation -----------------------------------------------------
 

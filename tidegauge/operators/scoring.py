@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions import pmml
-from tidegauge.operators import training
+from tidegauge.operators import dispatch, training
 
 _LOG = logging.getLogger(__name__)
 
@@ -24,32 +24,32 @@ def _logistic(data: bytes, columns: list[str]) -> Column:
     return training.anomaly_class("vec", p["weights"], p["intercept"]).cast("double")
 
 
-def _network(data: bytes, columns: list[str]) -> Column:
-    """A dense network given as JSON: feature columns, layers of weights (inputs x
-    outputs) and biases, activation per layer. The class is the position of the
-    largest output."""
-    p = json.loads(bytes(data))
-    layers = [(np.array(x["weights"], dtype=float), np.array(x["bias"], dtype=float), x.get("activation", "relu"))
-              for x in p["layers"]]
-    act = {"relu": lambda z: np.maximum(z, 0), "logistic": lambda z: 1 / (1 + np.exp(-z)),
-           "tanh": np.tanh, "identity": lambda z: z}
-    names = [c for c in p["features"]]
+def _vector(kind: str) -> Factory:
+    """A score by a numpy model, as a vectorised function over Arrow batches."""
+    def build(data: bytes, columns: list[str]) -> Column:
+        model = dispatch.VECTOR_FACTORIES[kind](data)
+        run, width = model.run, len(model.fields)
+        present = [(i, f) for i, f in enumerate(model.fields) if f in columns]
+        places = [i for i, _ in present]
+
+        @F.pandas_udf("double")
+        def scored(*series: pd.Series) -> pd.Series:
+            x = np.zeros((len(series[0]), width))
+            for i, s in zip(places, series):
+                x[:, i] = s.fillna(0.0).to_numpy()
+            return pd.Series(run(x))
 
-    @F.pandas_udf("double")
-    def scored(*series: pd.Series) -> pd.Series:
-        h = np.column_stack([s.fillna(0.0).to_numpy() for s in series]).astype("float32").astype("float64")
-        for w, b, a in layers:
-            h = act[a](h @ w + b)
-        return pd.Series(np.argmax(h, axis=1).astype(float))
+        # A model that needs none of the columns scores rows of zeros.
+        return scored(*[F.col(f).cast("double") for _, f in present] or [F.lit(0.0)])
 
-    return scored(*[(F.col(n).cast("double") if n in columns else F.lit(0.0)) for n in names])
+    return build
 
 
 # Model type of a descriptor to the function that compiles its bytes.
 FACTORIES: dict[str, Factory] = {
     "PMML": lambda data, columns: pmml.Document(bytes(data)).score(columns),
     "logistic": _logistic,
-    "network": _network,
+    "network": _vector("network"),
 }
 
 
@@ -71,24 +71,39 @@ def score(df: DataFrame, model_type: str, data: bytes, name: str = "score") -> D
     return df.withColumn(name, expr if expr is not None else F.lit(None).cast("double"))
 
 
+def _vectorised(model_type: str, data: bytes) -> bool:
+    if model_type == "PMML":
+        try:
+            return pmml.Document(bytes(data)).vectorised
+        except Exception:  # noqa: BLE001 - broken models are reported where they are compiled
+            return False
+    return model_type == "network"
+
+
 def score_dispatch(df: DataFrame, models: list[tuple[str, str, bytes]], by: str = "model",
                    name: str = "score", factories: dict[str, Factory] | None = None) -> DataFrame:
     """Score each row with the model named in column `by`. `models` is the registry
-    (name, type, bytes); rows of ignored or unknown models get NULL. A row only
-    evaluates the branch of its own model."""
+    (name, type, bytes); rows of ignored or unknown models get NULL. Models that are expressions are
+    branches of one; the others run over Arrow batches divided by model. So a row is evaluated by its
+    own model only. Own `factories` give expressions."""
     out: Column | None = None
+    vectors = {}
     for model, kind, data in models:
+        if factories is None and _vectorised(kind, data):
+            vectors[model] = (kind, bytes(data))
+            continue
         expr = compile_model(kind, data, df.columns, factories)
         if expr is not None:
             hit = F.col(by) == model
             out = F.when(hit, expr) if out is None else out.when(hit, expr)
-    return df.withColumn(name, out if out is not None else F.lit(None).cast("double"))
+    scored = df.withColumn(name, out if out is not None else F.lit(None).cast("double"))
+    return dispatch.score_rows(scored, vectors, by, name) if vectors else scored
 
 
 def serving_rows(scored: DataFrame, keep: list[str], model: str = "model", source: str = "class",
                  result: str = "result") -> DataFrame:
-    """Serving records: was there a model, which one, expected class and result. Wall
-    time per record is left to streaming metrics (see streaming.runner.observed)."""
+    """Serving records: was there a model, which one, expected class and result. The time
+    per record is known where records are served as they come (see streaming.online)."""
     return scored.select(*keep, F.col(model).isNotNull().alias("processed"), F.col(model).alias("model"),
                          F.col(source).alias("source"), F.col(result).cast("int").alias("result"))
 

@@ -225,6 +225,21 @@ def _anomaly_score(s, d):
 
 QUERIES["anomaly_score"] = _anomaly_score
 
+# The same scoring with weights that are given.
+def _anomaly_fixed(s, d):
+    weights, intercept = specs.LOGISTIC["a"]
+    v = training.anomaly_vectors(_cpu(s, d), _W, _MEAN, _STD)
+    return v.select("seq", "data_type", training.anomaly_class("vec", weights, intercept).alias("result"))
+
+
+_FIXED = f"{specs.LOGISTIC['a'][1]!r}::double" + "".join(
+    f" + ({x!r}::double) * cast(vec[{i + 1}] as double)" for i, x in enumerate(specs.LOGISTIC["a"][0]))
+QUERIES["anomaly_fixed"] = _anomaly_fixed
+SQL["anomaly_fixed"] = duck(
+    f"with v as (select seq, data_type, list({_Z}) over (partition by data_type order by seq rows between {_W - 1} preceding "
+    f"and current row) as vec from cpu) select seq, data_type, cast({_FIXED} > 0 as int) as result from v where len(vec) = {_W}",
+    "cpu")
+
 # Ensembles ----------------------------------------------------------------------
 
 QUERIES["fanout"] = lambda s, d: ensemble.fanout(_cpu(s, d).select("seq", "data_type"), view(s, d, "models"))

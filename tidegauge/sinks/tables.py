@@ -17,6 +17,22 @@ from tidegauge.operators.rollup import project_daily, project_monthly
 from tidegauge.sinks import files
 
 
+class BatchFolder:
+    """Rows appended by micro-batch, one folder each, so that a repeated batch replaces itself."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def read(self) -> DataFrame:
+        """All rows of finished batches."""
+        done = [f"{self.path}/{n}" for n in files.children(self.spark, self.path)
+                if n.startswith("batch=") and files.exists(self.spark, f"{self.path}/{n}/_SUCCESS")]
+        return self.spark.read.parquet(*sorted(done))
+
+
 class UpsertTable:
     def __init__(self, spark: SparkSession, path: str, pk: list[str], order: str | None = None,
                  partitions: list[str] | None = None, compact_every: int | None = 500):

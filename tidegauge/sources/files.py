@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.operators.enrich import STATION_SCHEMA
+from tidegauge.sources import archives, storage
 
 ZIP_BATCH_LINES = 10_000
 
@@ -33,9 +34,9 @@ def _zip_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """All lines of *.csv, *.csv.gz and every entry of *.csv.zip below the paths, as
-    (value, file); other files are ignored. Plain files are split by Spark; a gzip
-    file or an archive is one task, so keep those to a usual file size (Spark reads
-    binary files up to 2 GB)."""
+    (value, file); other files are ignored. Plain files are split by Spark, a gzip
+    file is one task, and archives are read entry by entry (see archives). Where only Spark
+    can open a store, an archive is one task and at most 2 GB."""
     paths = [paths] if isinstance(paths, str) else paths
 
     def text(pattern: str) -> DataFrame:
@@ -43,31 +44,33 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
                 .select("value", F.col("_metadata.file_path").alias("file")))
 
     zips = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv.zip")
-            .option("recursiveFileLookup", "true").load(paths).select("path", "content"))
-    return text("*.csv").unionByName(text("*.csv.gz")).unionByName(
-        zips.mapInPandas(_zip_lines, "value string, file string"))
+            .option("recursiveFileLookup", "true").load(paths))
+    plain = text("*.csv").unionByName(text("*.csv.gz"))
+    if all(storage.supported(p) for p in paths):
+        return plain.unionByName(archives.read_archives(zips.select("path")))
+    return plain.unionByName(zips.select("path", "content").mapInPandas(_zip_lines, "value string, file string"))
 
 
 def write_zip(df: DataFrame, path: str, entry: str = "part.csv") -> None:
-    """Rows as comma-separated lines, one csv.zip per partition, in a folder that all
-    executors can reach. A retried task replaces its own file."""
+    """Rows as comma-separated lines, one csv.zip per partition, in a folder of a store that Arrow can
+    write. A retried task replaces its own file."""
     columns = df.columns
 
     def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
         from pyspark import TaskContext
 
         context = TaskContext.get()
-        os.makedirs(path, exist_ok=True)
-        name = f"{path}/part-{context.partitionId():05d}"
+        store, inner = storage.locate(path)
+        store.create_dir(inner, recursive=True)
+        name = f"{inner}/part-{context.partitionId():05d}"
         part = f"{name}.{context.taskAttemptId()}.tmp"
         n = 0
-        with zipfile.ZipFile(part, "w", zipfile.ZIP_DEFLATED) as z, z.open(entry, "w", force_zip64=True) as f:
+        with store.open_output_stream(part) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z, z.open(
+                entry, "w", force_zip64=True) as f:
             for pdf in batches:
                 f.write(pdf[columns].to_csv(header=False, index=False).encode())
                 n += len(pdf)
-        os.replace(part, f"{name}.csv.zip")
+        store.move(part, f"{name}.csv.zip")
         yield pd.DataFrame({"n": [n]})
 
     df.mapInPandas(save, "n bigint").agg(F.sum("n")).collect()

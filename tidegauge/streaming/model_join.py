@@ -11,16 +11,17 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidegauge.operators.asof import asof_join
+from tidegauge.streaming import reorder
 
 
 class CurrentVersion(StatefulProcessor):
-    """Keeps one version per key and gives it to the records that follow it."""
+    """Keeps one version (a string or a whole number) per key and gives it to the records that follow it."""
 
-    def __init__(self, order: str, payload: str, output: list[str]):
-        self.order, self.payload, self.output = order, payload, output
+    def __init__(self, order: str, payload: str, output: list[str], kind: str = "string"):
+        self.order, self.payload, self.output, self.kind = order, payload, output, kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.current = handle.getValueState("current", "version string")
+        self.current = handle.getValueState("current", f"version {self.kind}")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         b = pd.concat(list(rows)).sort_values([self.order, "is_version"], ascending=[True, False], kind="stable")
@@ -29,8 +30,8 @@ class CurrentVersion(StatefulProcessor):
         if before is not None:
             seen = seen.fillna(before)
         newest = seen.iloc[-1]
-        if isinstance(newest, str):
-            self.current.update((newest,))
+        if newest is not None and not pd.isna(newest):
+            self.current.update((newest if self.kind == "string" else int(newest),))
         out = b.assign(**{self.payload: seen.where(seen.notna(), None).astype(object)})
         yield out.loc[~b["is_version"].to_numpy(dtype=bool), self.output].astype({
             c: object for c in self.output if not pd.api.types.is_numeric_dtype(out[c])})
@@ -39,17 +40,29 @@ class CurrentVersion(StatefulProcessor):
         pass
 
 
-def keyed_versions_stream(data: DataFrame, versions: DataFrame, key: str, order: str, payload: str) -> DataFrame:
-    """Stateful join of two streams per key. `versions` has key, order and payload."""
-    fields = [f for f in data.schema.fields]
-    d = data.withColumn(payload, F.lit(None).cast("string")).withColumn("is_version", F.lit(False))
-    v = versions.select(key, order, payload).withColumn("is_version", F.lit(True))
+def keyed_versions_stream(data: DataFrame, versions: DataFrame, key: str, order: str, payload: str,
+                          time: str | None = None, delay_ms: int = reorder.DELAY_MS) -> DataFrame:
+    """Stateful join of two streams per key. `versions` has key, order and payload (a string or a whole
+    number). With the event time `time` in both, rows may come out of order (see reorder)."""
+    kind = versions.schema[payload].dataType.simpleString()
+    if kind not in ("string", "int", "bigint"):
+        raise TypeError(f"{payload} is {kind}; need a string or a whole number")
+    names = [reorder.safe(c) for c in data.columns]
+    d = data.toDF(*names).withColumn(payload, F.lit(None).cast(kind)).withColumn("is_version", F.lit(False))
+    v = versions.select(key, order, payload, *([time] if time else [])).withColumn("is_version", F.lit(True))
     both = d.unionByName(v, allowMissingColumns=True)
-    output = [*data.columns, payload]
-    schema = T.StructType([*fields, T.StructField(payload, T.StringType())])
-    return both.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=CurrentVersion(order, payload, output), outputStructType=schema,
-        outputMode="Append", timeMode="None")
+    output = [*names, payload]
+    schema = T.StructType([*[T.StructField(n, f.dataType) for n, f in zip(names, data.schema)], versions.schema[payload]])
+    joined = reorder.run(both, [key], CurrentVersion(order, payload, output, kind), schema, time, delay_ms)
+    return joined.toDF(*data.columns, payload)
+
+
+def control_stream(requests: DataFrame, controls: DataFrame, key: str, order: str, setting: str, default: int = 100,
+                   time: str | None = None, delay_ms: int = reorder.DELAY_MS) -> DataFrame:
+    """Streaming form of operators.asof.control_asof: requests with the setting in force for their
+    key, from a stream of settings (key, order, setting). Absent or non-positive means `default`."""
+    out = keyed_versions_stream(requests, controls, key, order, setting, time, delay_ms)
+    return out.withColumn(setting, F.when(F.col(setting) > 0, F.col(setting)).otherwise(F.lit(default)).cast("bigint"))
 
 
 def per_batch_asof(read_versions: Callable[[SparkSession], DataFrame], order: str, version_order: str,

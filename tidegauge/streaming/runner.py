@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tidegauge.session import shared_dir
 
 BATCH_INTERVAL = "5 seconds"
+RESTARTS = 5
+RESTART_DELAY = 10.0
 
 
 def start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, name: str,
@@ -22,6 +28,26 @@ def start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: st
     return writer.start()
 
 
+def supervise(begin: Callable[[], StreamingQuery], restarts: int = RESTARTS, delay: float = RESTART_DELAY,
+              failed: Callable[[int, Exception], None] | None = None) -> int:
+    """Run a query to its end and start it again after a failure, `restarts` times at most with `delay`
+    seconds between; the failure after that is raised. `begin` starts the query with its
+    checkpoint, so a restart goes on where it failed, and sinks that replace whole batches have each row
+    once. Returns the number of restarts; `failed` is told of every failure."""
+    done = 0
+    while True:
+        try:
+            begin().awaitTermination()
+            return done
+        except StreamingQueryException as e:
+            if failed is not None:
+                failed(done, e)
+            if done == restarts:
+                raise
+            done += 1
+            time.sleep(delay)
+
+
 def start_all(spark: SparkSession, starts: list[Callable[[], StreamingQuery]]) -> None:
     """Start several queries and wait until one stops; its error is raised."""
     for s in starts:
@@ -51,6 +77,39 @@ def observed(df: DataFrame, name: str, *metrics: Column) -> DataFrame:
     return df.observe(name, *metrics)
 
 
+class MetricsTable(StreamingQueryListener):
+    """Writes the observed metrics (see `observed`) and the times of every micro-batch to a table: one
+    JSON folder per run and batch, so that a repeated batch replaces itself. Listen with
+    `spark.streams.addListener`, read with `read`."""
+
+    SCHEMA = "query string, run string, batch long, time string, rows long, millis long, metric string, name string, value double"
+    NAMES = ("query", "run", "batch", "time", "rows", "millis", "metric", "name", "value")
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        head = (p.name, str(p.runId), p.batchId, p.timestamp, p.numInputRows, p.batchDuration)
+        rows = [(*head, metric, name, None if value is None else float(value))
+                for metric, row in p.observedMetrics.items() for name, value in row.asDict().items()]
+        lines = [(json.dumps(dict(zip(self.NAMES, r))),) for r in rows or [(*head, None, None, None)]]
+        self.spark.createDataFrame(lines, "value string").coalesce(1).write.mode("overwrite").text(
+            f"{self.path}/run={p.runId}/part={p.batchId}")
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.SCHEMA).option("recursiveFileLookup", "true").json(self.path)
+
+
 def read_state(spark: SparkSession, checkpoint: str, variable: str, operator: int = 0) -> DataFrame:
     """Current value of a state variable of a stopped or running query."""
     return (spark.read.format("statestore").option("operatorId", operator)

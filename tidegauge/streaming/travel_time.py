@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidegauge.operators.taxi import GROUP, ride_features
-
-MAX_DELAY = "60 seconds"
+from tidegauge.streaming import reorder
 
 
 class TravelTime(StatefulProcessor):
@@ -38,11 +37,9 @@ class TravelTime(StatefulProcessor):
         pass
 
 
-def predict_stream(rides: DataFrame, strict: bool = False, delay: str = MAX_DELAY) -> DataFrame:
-    """Streaming form of operators.taxi.predict. The watermark marks progress; no row
-    is dropped as late."""
-    features = (ride_features(rides, strict).withColumn("event_time", F.col("event_time").cast("timestamp"))
-                .withWatermark("event_time", delay))
-    return features.groupBy(*GROUP).transformWithStateInPandas(
-        statefulProcessor=TravelTime(), outputStructType="ride_id bigint, minutes int",
-        outputMode="Append", timeMode="None")
+def predict_stream(rides: DataFrame, strict: bool = False, delay_ms: int | None = None) -> DataFrame:
+    """Streaming form of operators.taxi.predict, for micro-batches that come in order, or with
+    `delay_ms` for events that are out of order by so much (see reorder)."""
+    features = ride_features(rides, strict).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    return reorder.run(features, GROUP, TravelTime(), "ride_id bigint, minutes int",
+                       None if delay_ms is None else "event_time", delay_ms or reorder.DELAY_MS)

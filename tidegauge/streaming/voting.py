@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidegauge.operators.ensemble import vote
+from tidegauge.streaming import reorder
 
 OUTPUT = "request_id bigint, processed boolean, source int, result int, votes bigint, duration bigint"
-_RESPONSE = "resp_ts bigint, processed boolean, result int, source int"
+SHARES = 64
 
 
 def decide(responses: list[tuple]) -> dict:
-    """Majority of the processed (resp_ts, processed, result, source) responses."""
+    """Majority of the processed (resp_ts, processed, result, source) responses of a request."""
     done = [r for r in responses if r[1]]
     if not done:
         return {"processed": False, "source": None, "result": None, "votes": 0}
@@ -24,58 +25,89 @@ def decide(responses: list[tuple]) -> dict:
     return {"processed": True, "source": max(r[3] for r in done), "result": 0 if mean < 0.5 else 1, "votes": len(done)}
 
 
+def decide_many(responses: pd.DataFrame) -> pd.DataFrame:
+    """`decide` for many requests at once, by request_id; requests without a processed response have no
+    row."""
+    done = responses[responses["processed"].to_numpy(dtype=bool)]
+    votes = done.assign(result=done["result"].fillna(0)).groupby("request_id").agg(
+        votes=("result", "size"), mean=("result", "mean"), source=("source", "max"))
+    return pd.DataFrame({"processed": True, "source": votes["source"], "result": (votes["mean"] >= 0.5).astype(int),
+                         "votes": votes["votes"]}, index=votes.index)
+
+
+def _decide_each(responses: pd.DataFrame, decider) -> pd.DataFrame:
+    columns = ["resp_ts", "processed", "result", "source"]
+    found = {}
+    for request, own in responses.groupby("request_id"):
+        rows = own[columns].astype(object).where(own[columns].notna(), None)
+        found[request] = decider([(int(t), bool(p), None if v is None else int(v), None if s is None else int(s))
+                                  for t, p, v, s in rows.itertuples(index=False)])
+    return pd.DataFrame(list(found.values()), index=pd.Index(list(found), name="request_id"),
+                        columns=["processed", "source", "result", "votes"])
+
+
 class Correlate(StatefulProcessor):
-    """State per request: its start and limit, and the responses so far (at most as
-    many as there are models). It is dropped when the request is decided."""
+    """Open requests and their responses, for many requests at once: a key is a share of the requests.
+    State is one block of the rows that are not decided yet; there is one timer, for the first
+    request that ends. Responses of unknown or decided requests stay until the watermark passes them."""
 
     def __init__(self, expected: int, decider=decide):
         self.expected, self.decider = expected, decider
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.request = handle.getValueState("request", "req_ts bigint, timeout bigint")
-        self.responses = handle.getListState("responses", _RESPONSE)
-
-    def _result(self, key, done: list[tuple], duration: int) -> pd.DataFrame:
-        row = {"request_id": key[0], **self.decider(done), "duration": duration}
-        return pd.DataFrame([row]).astype({"source": "Int32", "result": "Int32"})
-
-    def _in_time(self, start: int, limit: int) -> list[tuple]:
-        return sorted((r for r in self.responses.get() if start <= r[0] <= start + limit), key=lambda r: r[0])
+        self.open = handle.getValueState("open", "block binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for b in rows:
-            for q in b[b["is_request"]].itertuples():
-                self.request.update((int(q.req_ts), int(q.timeout)))
-                self.handle.registerTimer(int(q.req_ts + q.timeout) + 1)
-            for r in b[~b["is_request"]].itertuples():
-                self.responses.appendValue((int(r.resp_ts), bool(r.processed),
-                                            None if pd.isna(r.result) else int(r.result), int(r.source)))
-                if not self.request.exists():
-                    # Unknown or already decided: kept until the watermark passes it.
-                    self.handle.registerTimer(int(r.resp_ts) + 1)
-        if self.request.exists():
-            start, limit = self.request.get()
-            done = self._in_time(start, limit)
-            if len(done) >= self.expected:
-                done = done[: self.expected]
-                self._clear()
-                yield self._result(key, done, done[-1][0] - start)
+        yield from self._step(pd.concat([*self._held(), *rows], ignore_index=True), timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.request.exists():
-            self._clear()
+        held = self._held()
+        if held:
+            yield from self._step(held[0], timerValues)
+
+    def _held(self) -> list[pd.DataFrame]:
+        return [reorder.of_block(self.open.get()[0])] if self.open.exists() else []
+
+    def _step(self, rows: pd.DataFrame, timerValues) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        asked = rows["is_request"].to_numpy(dtype=bool)
+        # Of a request that is sent again the last one counts.
+        requests = rows.loc[asked, ["request_id", "req_ts", "timeout"]].drop_duplicates("request_id", keep="last").set_index(
+            "request_id").astype("int64")
+        known = rows[~asked].join(requests, on="request_id", rsuffix="_of")
+        since = known["resp_ts"] - known["req_ts_of"]
+        valid = known[(since >= 0) & (since <= known["timeout_of"])].sort_values("resp_ts", kind="stable")
+        place = valid.groupby("request_id").cumcount()
+        got = valid.groupby("request_id").size().reindex(requests.index, fill_value=0)
+        full = got >= self.expected
+        over = requests["req_ts"] + requests["timeout"] < passed
+        out = requests.index[full | over]
+        if len(out):
+            yield self._results(requests.loc[out], full.loc[out], valid[(place < self.expected) & valid["request_id"].isin(out)])
+        left = rows[~rows["request_id"].isin(out)]
+        unknown = ~left["is_request"].to_numpy(dtype=bool) & ~left["request_id"].isin(requests.index).to_numpy()
+        left = left[~(unknown & (left["resp_ts"] < passed).to_numpy())]
+        self._keep(left)
+
+    def _results(self, requests: pd.DataFrame, full: pd.Series, valid: pd.DataFrame) -> pd.DataFrame:
+        last = valid.groupby("request_id")["resp_ts"].max().reindex(requests.index)
+        # Results of requests without any response too.
+        decided = decide_many(valid) if self.decider is decide else _decide_each(valid, self.decider)
+        decided = decided.reindex(requests.index)
+        duration = (last - requests["req_ts"]).where(full, requests["timeout"]).astype("int64")
+        return pd.DataFrame({
+            "request_id": requests.index, "processed": decided["processed"].astype("boolean").fillna(False).astype(bool).to_numpy(),
+            "source": decided["source"].astype("Int32").array, "result": decided["result"].astype("Int32").array,
+            "votes": decided["votes"].fillna(0).astype("int64").to_numpy(), "duration": duration.to_numpy()})
+
+    def _keep(self, left: pd.DataFrame) -> None:
+        if not len(left):
+            self.open.clear()
             return
-        start, limit = self.request.get()
-        if expiredTimerInfo.getExpiryTimeInMs() <= start + limit:
-            return
-        done = self._in_time(start, limit)
-        self._clear()
-        yield self._result(key, done, limit)
-
-    def _clear(self) -> None:
-        self.request.clear()
-        self.responses.clear()
+        self.open.update((reorder.to_block(left),))
+        ends = (left["req_ts"] + left["timeout"]).fillna(left["resp_ts"])
+        self.handle.registerTimer(int(ends.min()) + 1)
 
     def close(self) -> None:
         pass
@@ -113,16 +145,17 @@ def vote_stream(requests: DataFrame, responses: DataFrame, expected: int, timeou
 
 
 def vote_stream_early(requests: DataFrame, responses: DataFrame, expected: int, timeout_ms: int = 100,
-                delay: str = "1 second", decider=decide) -> DataFrame:
-    """As `vote_stream`, but a decision is out as soon as the expected number of
-    responses is there. State and timers are kept in Python per request, so use it
-    where latency matters more than throughput."""
+                delay: str = "1 second", decider=decide, shares: int = SHARES) -> DataFrame:
+    """As `vote_stream`, but a decision is out as soon as the expected number of responses is there; the
+    first `expected` decide. The open requests are dealt to `shares` by their id, and a micro-batch
+    works on a share in arrays, so its cost does not go by request. A share holds the requests that
+    are open at a time: raise `shares` with their number."""
     own = F.col("timeout") if "timeout" in requests.columns else F.lit(timeout_ms)
     q = requests.select("request_id", F.lit(True).alias("is_request"), "req_ts", own.cast("bigint").alias("timeout"),
                         F.timestamp_millis("req_ts").alias("event_time"))
     r = responses.select("request_id", F.lit(False).alias("is_request"), "resp_ts", "processed", "result", "source",
                          F.timestamp_millis("resp_ts").alias("event_time"))
     both = q.unionByName(r, allowMissingColumns=True).withWatermark("event_time", delay)
-    return both.groupBy("request_id").transformWithStateInPandas(
+    return both.withColumn("share", F.pmod(F.xxhash64("request_id"), F.lit(shares))).groupBy("share").transformWithStateInPandas(
         statefulProcessor=Correlate(expected, decider), outputStructType=OUTPUT,
         outputMode="Append", timeMode="EventTime")
