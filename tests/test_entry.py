@@ -14,7 +14,7 @@ spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "fals
 import __spark_entry__ as e
 q = e.queries()
 assert e.entry(spark).count() > 0
-for name in ("score_mlp", "stream_daily_change"):
+for name in ("score_mlp", "stream_daily_change", "stream_score_dispatch", "src_files"):
     assert q[name](spark, "/root/testdata/sf0.001").count() > 0
 print("done")
 """

@@ -6,6 +6,7 @@ archive may have any size. A compressed entry has no inner boundaries and is one
 
 from __future__ import annotations
 
+import io
 import struct
 import zipfile
 import zlib
@@ -22,6 +23,11 @@ BATCH_LINES = 10_000
 _ENTRY = "path string, entry string, place long, header long, method int, packed long, size long"
 
 
+def _whole_if_small(file):
+    # The directory is looked for from the end, also before the start of a small file.
+    return io.BytesIO(file.read()) if file.size() < 1 << 20 else file
+
+
 def entries(archives: DataFrame) -> DataFrame:
     """The files in archives (column path): place in the archive, where they are and how packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -29,7 +35,7 @@ def entries(archives: DataFrame) -> DataFrame:
             rows = []
             for path in batch.column("path").to_pylist():
                 store, inner = storage.locate(path)
-                with store.open_input_file(inner) as file, zipfile.ZipFile(file) as z:
+                with store.open_input_file(inner) as file, zipfile.ZipFile(_whole_if_small(file)) as z:
                     rows += [(path, e.filename, i, e.header_offset, e.compress_type, e.compress_size, e.file_size)
                              for i, e in enumerate(z.infolist()) if not e.is_dir()]
             names = ["path", "entry", "place", "header", "method", "packed", "size"]

@@ -4,7 +4,8 @@ A processor that sorts the rows of its micro-batch is exact when micro-batches c
 rows of a key wait in state, in slots of event time, until the watermark has passed their slot;
 an event-time timer then hands all finished slots to the processor, which sorts them. Rows that come
 at most `delay_ms` after a later one are put in their place, whatever the files, partitions or
-topics they came by. Later rows are dropped by Spark (numRowsDroppedByWatermark in the progress).
+topics they came by. Rows that come later still are given to the processor at once, or dropped by
+Spark where its watermark had passed them a micro-batch before (numRowsDroppedByWatermark in the progress).
 
 Rows without an event time go to the processor at once: in the batch forms they come first. State per key is
 the rows of the last `delay_ms` and of one slot, as one Arrow block per micro-batch and slot. They are

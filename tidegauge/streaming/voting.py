@@ -51,7 +51,7 @@ class Correlate(StatefulProcessor):
     State is one block of the rows that are not decided yet; there is one timer, for the first
     request that ends. Responses of unknown or decided requests stay until the watermark passes them."""
 
-    def __init__(self, expected: int, decider=decide):
+    def __init__(self, expected: int, decider=None):
         self.expected, self.decider = expected, decider
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -93,7 +93,7 @@ class Correlate(StatefulProcessor):
     def _results(self, requests: pd.DataFrame, full: pd.Series, valid: pd.DataFrame) -> pd.DataFrame:
         last = valid.groupby("request_id")["resp_ts"].max().reindex(requests.index)
         # Results of requests without any response too.
-        decided = decide_many(valid) if self.decider is decide else _decide_each(valid, self.decider)
+        decided = decide_many(valid) if self.decider is None else _decide_each(valid, self.decider)
         decided = decided.reindex(requests.index)
         duration = (last - requests["req_ts"]).where(full, requests["timeout"]).astype("int64")
         return pd.DataFrame({
@@ -157,5 +157,5 @@ def vote_stream_early(requests: DataFrame, responses: DataFrame, expected: int,
                          F.timestamp_millis("resp_ts").alias("event_time"))
     both = q.unionByName(r, allowMissingColumns=True).withWatermark("event_time", delay)
     return both.withColumn("share", F.pmod(F.xxhash64("request_id"), F.lit(shares))).groupBy("share").transformWithStateInPandas(
-        statefulProcessor=Correlate(expected, decider), outputStructType=OUTPUT,
+        statefulProcessor=Correlate(expected, None if decider is decide else decider), outputStructType=OUTPUT,
         outputMode="Append", timeMode="EventTime")
