@@ -35,9 +35,9 @@ def decide_many(responses: pd.DataFrame) -> pd.DataFrame:
                          "votes": votes["votes"]}, index=votes.index)
 
 
-def _decide_each(responses: pd.DataFrame, decider) -> pd.DataFrame:
+def _decide_each(responses: pd.DataFrame, requests: pd.Index, decider) -> pd.DataFrame:
     columns = ["resp_ts", "processed", "result", "source"]
-    found = {}
+    found = {request: decider([]) for request in requests.difference(responses["request_id"])}
     for request, own in responses.groupby("request_id"):
         rows = own[columns].astype(object).where(own[columns].notna(), None)
         found[request] = decider([(int(t), bool(p), None if v is None else int(v), None if s is None else int(s))
@@ -93,7 +93,7 @@ class Correlate(StatefulProcessor):
     def _results(self, requests: pd.DataFrame, full: pd.Series, valid: pd.DataFrame) -> pd.DataFrame:
         last = valid.groupby("request_id")["resp_ts"].max().reindex(requests.index)
         # Results of requests without any response too.
-        decided = decide_many(valid) if self.decider is None else _decide_each(valid, self.decider)
+        decided = decide_many(valid) if self.decider is None else _decide_each(valid, requests.index, self.decider)
         decided = decided.reindex(requests.index)
         duration = (last - requests["req_ts"]).where(full, requests["timeout"]).astype("int64")
         return pd.DataFrame({
