@@ -14,8 +14,9 @@ def odd(spark):
     """Documents with nulls, empty and very long texts, repeated rows and clashing columns."""
     rows = [(1, "one two three four", "a"), (1, "one two three four", "a"), (2, None, "b"), (3, "", None), (None, "no id", "c"),
             (None, None, None), (4, LONG, "d"), (5, "one two three four", "e"), (6, " \n\t ", "f"), (7, "<|endoftext|> x", "g")]
-    extra = ", length long, start string, sequence_id int, v int, root string, _b int, slot string, shard string, entries int"
-    return spark.createDataFrame([(*r, 1, "s", 2, 3, "r", 4, "t", "h", 9) for r in rows],
+    extra = (", length long, start string, sequence_id int, v int, root string, _b int, slot string, shard string, entries int, "
+             "doc string, xx int, _id int, _digest int, _own string, _key int, `odd``name.x` string")
+    return spark.createDataFrame([(*r, 1, "s", 2, 3, "r", 4, "t", "h", 9, "d", 5, 6, 7, "o", 8, "q") for r in rows],
                                  "doc_id long, text string, source string" + extra)
 
 

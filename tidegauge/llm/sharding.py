@@ -17,6 +17,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.llm.tables import quoted
+
 MAX_SIZE = 10_000_019
 
 
@@ -57,7 +59,7 @@ def assign(df: DataFrame, key: str, shards: list[str], size: int = 65_537) -> Da
     spark: SparkSession = df.sparkSession
     owners = spark.createDataFrame(list(enumerate(lookup_table(shards, size))), "slot long, shard int")
     rows = df.drop("slot", "shard").withColumn("slot", F.pmod(key_hash(F.col(key)), F.lit(size).cast("long")))
-    return rows.join(F.broadcast(owners), "slot").select(*rows.columns, "shard")
+    return rows.join(F.broadcast(owners), "slot").select(*[F.col(quoted(c)) for c in rows.columns], "shard")
 
 
 def write_shards(df: DataFrame, path: str, key: str, shards: list[str], size: int = 65_537) -> None:

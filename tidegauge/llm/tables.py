@@ -45,11 +45,41 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept_dir(spark: SparkSession, name: str) -> str:
+    """The folder of that name below the shared one, the same in every run: what one run appends
+    there the next one finds."""
+    return f"{shared_dir(spark, name).rsplit('/', 1)[0]}/{name}"
+
+
+def sampled(rows: DataFrame, columns: list[str], n: int, name: str) -> DataFrame:
+    """At most `n` rows, those with the smallest hashes of `columns`, stored. Rows above a threshold,
+    set by the number of rows, are left out before they are ordered, so that tasks send about `n` rows in
+    all."""
+    total = rows.count()
+    if total <= n:
+        return stored(rows, name)
+    order, share = F.xxhash64(*columns), 1.2 * n / total + 1e-6
+    while True:
+        part = rows.where(order <= F.lit(int(share * (1 << 64)) - (1 << 63))) if share < 1 else rows
+        chosen = stored(part.orderBy(order, *columns).limit(n), name)
+        if share >= 1 or chosen.count() == n:
+            return chosen
+        share *= 2
+
+
 def quoted(name: str) -> str:
     """A column name for F.col, whatever characters it has."""
     return "`" + name.replace("`", "``") + "`"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, or a longer one if `df` has a column of it (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def carried(df: DataFrame, *more: Column, name: str = "row") -> DataFrame:
     """All columns of `df` in one struct, beside others, so that no names clash; `name.*` gives
     them back."""
