@@ -208,14 +208,16 @@ def test_variants_hide_no_exact_copy(spark, partitions):
 
 
 @settings(max_examples=80, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 5), st.lists(st.integers(0, 2), min_size=8, max_size=8)),
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 5), st.lists(st.integers(0, 2), min_size=12, max_size=12)),
                 max_size=30))
 def test_all_earlier_rows_are_compared(rows):
+    """For each number of lines before, how many lines after one and the same earlier row has too."""
+    half = line_dedup.REACH
     rows = sorted(rows, key=lambda r: r[:2])
     key, ident = (np.array([r[i] for r in rows], np.int64) for i in (0, 1))
-    pos, xx = np.arange(len(rows)), np.zeros(len(rows), np.int64)
-    context = np.array([r[2] for r in rows], np.uint32).reshape(-1, 2, line_dedup.REACH)
-    context = (context * np.cumprod(context != 0, axis=2)).astype(np.uint32).reshape(-1, 2 * line_dedup.REACH)
+    at = np.arange(len(rows))
+    context = np.array([r[2] for r in rows], np.uint32).reshape(-1, 2, half)
+    context = (context * np.cumprod(context != 0, axis=2)).astype(np.uint32).reshape(-1, 2 * half)
 
     def agree(a, b):
         n = 0
@@ -223,16 +225,95 @@ def test_all_earlier_rows_are_compared(rows):
             n += 1
         return n
 
-    want, half = {}, line_dedup.REACH
+    def windows(i, earlier):
+        both = [(agree(context[i][:half], context[j][:half]), agree(context[i][half:], context[j][half:])) for j in earlier]
+        best = {}
+        for before in range(half + 1):
+            after = max((r for l, r in both if l >= before), default=-1)
+            if after >= 0 and after > max((r for l, r in both if l > before), default=-1):
+                best[before] = after
+        return best
+
+    want = {}
     for i in range(len(rows)):
         earlier = [j for j in range(i) if key[j] == key[i]]
         if earlier:
-            want[i] = tuple(max(agree(context[i][s], context[j][s]) for j in earlier)
-                            for s in (slice(0, half), slice(half, None)))
-    heads, later, left, right, whole = line_dedup._resolve(key, ident, xx, pos, context, np.arange(len(rows)))
-    assert dict(zip(later.tolist(), zip(left.tolist(), right.tolist()))) == want
+            want[i] = windows(i, earlier)
+    heads, later, packed, whole = line_dedup._resolve(key, ident, at, context, np.arange(len(rows)))
+    assert {i: dict(line_dedup._windows(int(p))) for i, p in zip(later.tolist(), packed)} == want
     # The heads alone answer for all rows, whatever batch a later row comes in.
     for i, found in want.items():
-        earlier = [j for j in heads.tolist() if j < i and key[j] == key[i]]
-        assert found == tuple(max(agree(context[i][s], context[j][s]) for j in earlier)
-                              for s in (slice(0, half), slice(half, None)))
+        assert found == windows(i, [j for j in heads.tolist() if j < i and key[j] == key[i]])
+
+
+def test_pieces_that_meet_by_chance_stay(spark):
+    """Two unrelated passages of 20 words, each from another earlier document, side by side."""
+    rng = np.random.default_rng(12)
+    docs = {}
+    for k in range(40):
+        a, b = prose(rng, 20, 50), prose(rng, 20, 50)
+        docs[3 * k] = prose(rng, 60) + " " + a + " " + prose(rng, 60)
+        docs[3 * k + 1] = prose(rng, 60) + " " + b + " " + prose(rng, 60)
+        docs[3 * k + 2] = prose(rng, 60) + " " + a + " " + b + " " + prose(rng, 60)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    assert [r.doc_id for r in line_dedup.dedup_lines(df).collect() if r._removed] == []
+
+
+def repeated_words(docs, least):
+    """Words of each document that are in a run of `least` words that begins at an earlier place."""
+    seen, out = set(), {}
+    for d in sorted(docs):
+        words = docs[d].split()
+        runs = [hash(tuple(words[i:i + least])) for i in range(len(words) - least + 1)]
+        out[d] = {i + j for i, r in enumerate(runs) for j in range(least) if r in seen or r in runs[:i]} if set(
+            runs) & seen or len(set(runs)) < len(runs) else set()
+        seen |= set(runs)
+    return out
+
+
+def word_places(text, spans):
+    places = [m.start() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+    return {i for i, p in enumerate(places) if any(s.start <= p < s.end for s in spans)}
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_deleted_words_are_in_a_run_of_one_earlier_place(spark, texts, partitions):
+    """All documents against a brute-force search, with variants, stitched pieces and passages of 51 words."""
+    rng = np.random.default_rng(13)
+    docs, at = dict(texts), max(texts) + 1
+    passages = [prose(rng, 51, int(rng.integers(8, 60))) for _ in range(60)]
+    for k, passage in enumerate(passages):
+        docs[at + 4 * k] = prose(rng, 40) + " " + passage + " " + prose(rng, 40)
+        edited = passage.split()
+        edited[25] = "edited"
+        docs[at + 4 * k + 1] = prose(rng, 40) + " " + " ".join(edited) + "\n" + prose(rng, 40)
+        docs[at + 4 * k + 2] = prose(rng, 40) + "\n" + passage + "\n" + prose(rng, 40)
+        halves = passage.split()[:20] + passages[k - 1].split()[-20:]
+        docs[at + 4 * k + 3] = prose(rng, 40) + " " + " ".join(halves) + " " + prose(rng, 40)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(partitions)
+    want = repeated_words(docs, line_dedup.MIN_WORDS)
+    found = total = caught = 0
+    for r in line_dedup.dedup_lines(df).collect():
+        gone = word_places(docs[r.doc_id], r._removed)
+        assert gone <= want[r.doc_id], r.doc_id
+        found, total = found + len(gone), total + len(want[r.doc_id])
+        if r.doc_id >= at and (r.doc_id - at) % 4 == 2:
+            caught += len(gone) > 40
+        if r.doc_id >= at and (r.doc_id - at) % 4 in (0, 3):
+            assert not gone
+    # Words at the edges of a run stay where they are parts of lines.
+    assert total > 2000 and found > 0.8 * total
+    assert caught == 60
+
+
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    text = prose(np.random.default_rng(14), 60)
+    names = "doc long, xx long, _found string, _key int, _xx int, _removed string, `a``b.c` string, at int, windows int, row int, found int"
+    df = spark.createDataFrame([(i, text, i, 2, "f", 3, 4, "r", "q", 5, 6, 7, 8) for i in range(3)], "doc_id long, text string, " + names)
+    out = line_dedup.dedup_lines(df, removed_column="gone")
+    assert out.columns == [*df.columns, "gone"]
+    assert [(r.doc_id, r["a`b.c"], r._removed, r.doc, bool(r.gone)) for r in out.orderBy("doc_id").collect()] == [
+        (0, "q", "r", 0, False), (1, "q", "r", 1, True), (2, "q", "r", 2, True)]
+    assert line_dedup.dedup_lines(df).columns.count("_removed") == 1
+    kept = simhash.keep_one(df.withColumn("_id", df.doc).withColumn("_own", df.doc).withColumn("_digest", df.doc))
+    assert kept.columns == [*df.columns, "_id", "_own", "_digest"] and [r.doc_id for r in kept.collect()] == [0]
