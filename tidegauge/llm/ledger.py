@@ -44,8 +44,10 @@ def resolve(rows: DataFrame, store: str, version: str, schema: str,
     spark = rows.sparkSession
     texts = rows.select(text_of(text_column).alias("text")).select(digest("text").alias("_digest"), "text")
     known = read_store(spark, store, version, schema).select("_digest")
-    # One text of each digest; map-side aggregation leaves one of a hot group per task.
-    missing = texts.join(known, "_digest", "left_anti").groupBy("_digest").agg(F.first("text").alias("text"))
+    # One text of each digest; aggregated before the shuffle, so a task sends one of a hot group. The
+    # join with what is stored uses the same partitioning.
+    distinct = texts.groupBy("_digest").agg(F.first("text").alias("text"))
+    missing = distinct.join(known, "_digest", "left_anti")
     work(missing).write.parquet(f"{store}/version={version}/batch={os.urandom(8).hex()}")
     # Stored by itself, so that the join with the rows has no aggregate in its stage and Spark can
     # divide the rows of a hot digest.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm import (decontaminate, hard_negatives, importance, line_dedup, packing, pii, quality, secrets, sharding, simhash,
                            token_counts, token_files, toxicity)
-from tidegauge.llm.tables import prepare, table
+from tidegauge.llm.tables import kept_dir, prepare, table
 from tidegauge.session import shared_dir
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -40,7 +40,7 @@ def op2_token_files(spark, sf_dir):
 
 def op3_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
-                                     shared_dir(spark, "token-counts"))
+                                     kept_dir(spark, "token-counts"))
 
 
 def op4_sharding(spark, sf_dir):
@@ -52,7 +52,7 @@ def op5_decontaminate(spark, sf_dir):
 
 
 def op6_secrets(spark, sf_dir):
-    found = secrets.scan_paths(table(spark, sf_dir, "documents"), shared_dir(spark, "secret-ledger"))
+    found = secrets.scan_paths(table(spark, sf_dir, "documents"), kept_dir(spark, "secret-ledger"))
     f = F.col("findings")
     counts = [_count(f, _of_kind(k)).alias(f"n_{secrets.RULES[k][0]}") for k in range(secrets.BASE_KINDS)]
     return found.select("doc_id", *counts, F.sha2(secrets.spans(f, base=True).cast("binary"), 256).alias("base_sha256"),
