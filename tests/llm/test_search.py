@@ -118,6 +118,30 @@ def test_items_in_blocks_give_the_same(spark, docs, monkeypatch):
     assert decontaminate.clean(docs, items).count() == docs.count() - len({w[0] for w in whole})
 
 
+def test_short_items_and_excerpts_of_long_ones(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    long = prose(700)
+    assert len(long) > 4000
+    items = [(1, "tenth mark"), (2, "Mäßig kühl"), (3, "short"), (4, long), (5, "twelve signs"), (6, prose(12))]
+    docs = [(10, prose(30) + " tenth mark " + prose(30)), (11, prose(9) + " (Tenth\nMark). " + prose(9)),
+            (12, prose(9) + " tenth marks " + prose(9)), (13, prose(9) + " otenth mark " + prose(9)), (14, "mäßig kühl"),
+            (15, prose(9) + " short " + prose(9)), (16, prose(20) + " " + long + " " + prose(20)),
+            (17, prose(20) + " " + long[1000:1900] + " " + prose(20)), (18, prose(20) + edited(long[2000:2600], 30, rng) + prose(20)),
+            (19, prose(20) + long[500:560] + prose(20)), (20, "twelve sgns twelve  signs"), (21, prose(200)), (22, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = {(10, 1), (11, 1), (14, 2), (16, 4), (17, 4), (18, 4)}
+    for size in (4_000_000, 2000):
+        monkeypatch.setattr(decontaminate, "BLOCK_CHARS", size)
+        rows = decontaminate.occurrences(df, bench).collect()
+        assert {(r.doc_id, r.item_id) for r in rows} == want and len(rows) == len(want)
+        spans = {r.doc_id: docs[r.doc_id - 10][1][r.start:r.end] for r in rows}
+        assert spans[10] == "tenth mark" and spans[16] == long and len(spans[17]) >= 800 and len(spans[18]) >= 400
+        assert sorted(r.doc_id for r in decontaminate.clean(df, bench).collect()) == [12, 13, 15, 19, 20, 21, 22]
+
+
 def test_decontaminate_odd_rows(spark, odd, none):
     items = spark.createDataFrame([(1, None), (None, "word0 and0 word1 and1 word2 and2"), (3, ""), (4, "one")],
                                   "item_id long, text string")

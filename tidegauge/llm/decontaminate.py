@@ -7,10 +7,14 @@ reach the bound are kept, and an alignment limited to the band decides.
 
 Items and documents are compared in lower case (A-Z) with all ASCII white space as spaces. The
 edit budget is `rate` of an item's length, or what leaves 15 % of its q-grams if that is less.
-Items shorter than `MIN_CHARS` identify no passage and never match.
+Items of fewer than `SHORT_CHARS` characters have to occur without edits and between word
+boundaries; those without a single q-gram (fewer than `Q` characters) identify no passage. Items of more
+than `LONG_CHARS` are searched in windows that overlap by half, so excerpts of them are found too;
+windows found next to each other are one occurrence, whose distance is that of its worst window.
 
-Documents are not shuffled. Items are broadcast in blocks of at most `BLOCK_CHARS` characters
-(one longer item is a block), so what is broadcast has a bound whatever the benchmark's size.
+Documents are not shuffled. Items are broadcast in blocks of at most `BLOCK_CHARS` characters (one longer
+item is a block). Of several blocks one is broadcast at a time: its results are stored and
+it is given up before the next, so what is broadcast has a bound whatever the benchmark's size.
 
 Nulls: a null text is an empty one; null ids stay. Repeated rows and items are reported each. Empty
 tables give no rows. Texts are searched whole. Only named columns are used, so other
@@ -19,22 +23,27 @@ columns may have any names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.tables import lean, mapped, text_of
+from tidegauge.llm.tables import carried, lean, mapped, stored, text_of
+from tidegauge.session import fits_broadcast
 
 Q = 8
 RATE = 0.1
-MIN_CHARS = 24
+SHORT_CHARS = 24
+LONG_CHARS = 400
+WINDOW_CHARS = 200
 BLOCK_CHARS = 4_000_000
 # Characters of documents that are worked on at a time.
 STEP_CHARS = 1 << 21
+BROADCAST_ROWS = 500_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -58,14 +67,18 @@ def _grams(codes: np.ndarray) -> np.ndarray:
 
 
 def budget(length: int, rate: float = RATE) -> int:
+    if length < SHORT_CHARS:
+        return 0
     return max(0, min(int(rate * length), int((0.85 * length - Q + 1) // Q)))
 
 
 @dataclass
 class Index:
-    """The q-grams of a block of items, sorted; `item` and `at` give each one's places."""
+    """The q-grams of a block of patterns, sorted; `item` and `at` give each one's places. A pattern is an
+    item or a window of one (`owner`)."""
 
     ids: list
+    owner: np.ndarray
     codes: list[np.ndarray]
     budgets: np.ndarray
     least: np.ndarray
@@ -77,12 +90,19 @@ class Index:
     seen: np.ndarray
 
 
+def _windows(codes: np.ndarray) -> list[np.ndarray]:
+    """A long item in windows that overlap by half, the last one up to its end."""
+    if len(codes) <= LONG_CHARS:
+        return [codes]
+    starts = [*range(0, len(codes) - WINDOW_CHARS, WINDOW_CHARS // 2), len(codes) - WINDOW_CHARS]
+    return [codes[s:s + WINDOW_CHARS] for s in starts]
+
+
 def make_index(items: list[tuple[object, str]], rate: float = RATE) -> Index | None:
-    codes = [code_points(t) for _, t in items]
-    use = [i for i, c in enumerate(codes) if len(c) >= MIN_CHARS]
-    if not use:
+    patterns = [(n, c) for n, (_, t) in enumerate(items) for c in _windows(code_points(t)) if len(c) >= Q]
+    if not patterns:
         return None
-    ids, codes = [items[i][0] for i in use], [codes[i] for i in use]
+    ids, owner, codes = [i for i, _ in items], np.array([n for n, _ in patterns]), [c for _, c in patterns]
     budgets = np.array([budget(len(c), rate) for c in codes])
     grams = [_grams(c) for c in codes]
     sizes = np.array([len(g) for g in grams])
@@ -95,7 +115,7 @@ def make_index(items: list[tuple[object, str]], rate: float = RATE) -> Index | N
     seen = np.zeros(1 << bits, bool)
     shift = np.uint64(64 - bits)
     seen[distinct * _MULTIPLIER >> shift] = True
-    return Index(ids, codes, budgets, sizes - Q * budgets, distinct, np.append(first, len(flat)), item, at, shift, seen)
+    return Index(ids, owner, codes, budgets, sizes - Q * budgets, distinct, np.append(first, len(flat)), item, at, shift, seen)
 
 
 def align(pattern: np.ndarray, text: np.ndarray, most: int, anchored: bool = False) -> tuple[int, int] | None:
@@ -125,14 +145,26 @@ def align(pattern: np.ndarray, text: np.ndarray, most: int, anchored: bool = Fal
     return int(row[best]), int(diagonal[best] + m)
 
 
+def _bounded(codes: np.ndarray, start: int, end: int) -> bool:
+    """Whether a word neither goes on before nor after."""
+    def inside(a: int, b: int) -> bool:
+        return 0 <= a and b < len(codes) and chr(codes[a]).isalnum() and chr(codes[b]).isalnum()
+
+    return not inside(start - 1, start) and not inside(end - 1, end)
+
+
 def _verify(index: Index, item: int, codes: np.ndarray, low: int, high: int) -> tuple[int, int, int] | None:
     """(start, end, distance) of the item in codes[low:high]."""
     pattern, k = index.codes[item], int(index.budgets[item])
     low, high = max(0, low), min(len(codes), high)
     region = codes[low:high]
-    at = region.tobytes().find(pattern.tobytes())
-    if at >= 0 and at % 4 == 0:
-        return low + at // 4, low + at // 4 + len(pattern), 0
+    raw, wanted, at = region.tobytes(), pattern.tobytes(), -1
+    while (at := raw.find(wanted, at + 1)) >= 0:
+        start, end = low + at // 4, low + at // 4 + len(pattern)
+        if at % 4 == 0 and (len(pattern) >= SHORT_CHARS or _bounded(codes, start, end)):
+            return start, end, 0
+    if len(pattern) < SHORT_CHARS:
+        return None
     found = align(pattern, region, k)
     if found is None or found[0] > k:
         return None
@@ -143,7 +175,8 @@ def _verify(index: Index, item: int, codes: np.ndarray, low: int, high: int) ->
 
 def find(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
     """(text number, item number, start, end, distance) of all items in some texts, in code
-    points. Of overlapping occurrences of an item in a text the closest is given."""
+    points. Of overlapping occurrences of an item in a text the closest is given; those of the windows
+    of an item are joined."""
     codes = [code_points(t) for t in texts]
     sizes = np.array([len(c) for c in codes])
     starts = np.cumsum(sizes) - sizes
@@ -192,6 +225,18 @@ def find(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int]]
             if all(e <= s2 or s >= e2 for s2, e2, _ in kept):
                 kept.append((s, e, d))
         out += [(*divmod(p, len(index.codes)), *f) for f in sorted(kept)]
+    return _joined(index, out)
+
+
+def _joined(index: Index, found: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Patterns to items: windows of one item that overlap or touch are one occurrence."""
+    out: list[tuple[int, int, int, int, int]] = []
+    windows = np.bincount(index.owner)
+    for text, item, start, end, distance in sorted((t, int(index.owner[p]), s, e, d) for t, p, s, e, d in found):
+        if windows[item] > 1 and out and out[-1][:2] == (text, item) and start <= out[-1][3]:
+            out[-1] = (text, item, out[-1][2], max(end, out[-1][3]), max(distance, out[-1][4]))
+        else:
+            out.append((text, item, start, end, distance))
     return out
 
 
@@ -210,17 +255,32 @@ def _in_steps(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield first, held
 
 
-def _blocks(items: DataFrame, id_column: str, text_column: str, rate: float):
-    """Indexes of the items, broadcast one block after another."""
+def _blocks(items: DataFrame, id_column: str, text_column: str, rate: float) -> tuple[int, Iterator[Broadcast]]:
+    """How many blocks of items there are, and their indexes, broadcast one after another."""
     rows = items.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = 1 + total // BLOCK_CHARS
-    for b in range(blocks):
-        own = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b)
-        index = make_index([tuple(r) for r in own.collect()], rate)
-        if index:
-            # Plain values: workers need not have this package.
-            yield items.sparkSession.sparkContext.broadcast(tuple(getattr(index, f.name) for f in fields(index)))
+    blocks = 1 + (rows.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_CHARS
+
+    def indexes() -> Iterator[Broadcast]:
+        for b in range(blocks):
+            own = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b)
+            index = make_index([tuple(r) for r in own.collect()], rate)
+            if index:
+                # Plain values: workers need not have this package.
+                yield items.sparkSession.sparkContext.broadcast(tuple(getattr(index, f.name) for f in fields(index)))
+
+    return blocks, indexes()
+
+
+def _by_block(blocks: int, indexes: Iterator[Broadcast], search: Callable[[Broadcast], DataFrame]) -> DataFrame | None:
+    """The rows that `search` gives for all blocks; of several, each is stored and its index given up."""
+    out = None
+    for index in indexes:
+        part = search(index)
+        if blocks > 1:
+            part = stored(part, "block")
+            index.destroy()
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def occurrences(docs: DataFrame, items: DataFrame, rate: float = RATE, id_column: str = "doc_id",
@@ -229,10 +289,10 @@ def occurrences(docs: DataFrame, items: DataFrame, rate: float = RATE, id_column
     types = dict(docs.dtypes)[id_column], dict(items.dtypes)[item_column]
     schema = f"doc_id {types[0]}, item_id {types[1]}, start long, end long, distance long"
     rows = docs.select(F.col(id_column), text_of(text_column).alias("text"))
-    out = None
-    for index in _blocks(items, item_column, item_text, rate):
+
+    def search(index: Broadcast) -> DataFrame:
         @lean
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = Index(*index.value)
             for batch in batches:
                 found = [(first + t, *rest) for first, texts in _in_steps(batch.column(1))
@@ -243,24 +303,52 @@ def occurrences(docs: DataFrame, items: DataFrame, rate: float = RATE, id_column
                     [doc, item.cast(pa.int64()) if not found else item,
                      *(pa.array([f[c] for f in found], pa.int64()) for c in (2, 3, 4))],
                     names=["doc_id", "item_id", "start", "end", "distance"])
-        part = rows.mapInArrow(run, schema)
-        out = part if out is None else out.unionByName(part)
+
+        return rows.mapInArrow(run, schema)
+
+    out = _by_block(*_blocks(items, item_column, item_text, rate), search)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
 def clean(docs: DataFrame, items: DataFrame, rate: float = RATE, text_column: str = "text",
           item_column: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The documents without any benchmark passage, with all their columns."""
+    """The documents without any benchmark passage, with all their columns. With several blocks of items
+    the texts that hold one are named by digest, and the documents are joined with these."""
     place = docs.columns.index(text_column)
-    for index in _blocks(items, item_column, item_text, rate):
+
+    def marks(block: Index, texts: pa.Array) -> np.ndarray:
+        keep = np.ones(len(texts), bool)
+        for first, part in _in_steps(texts):
+            for t, *_ in find(block, part):
+                keep[first + t] = False
+        return keep
+
+    blocks, indexes = _blocks(items, item_column, item_text, rate)
+    if blocks == 1:
+        for index in indexes:
+            @lean
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                block = Index(*index.value)
+                for batch in batches:
+                    yield batch.filter(pa.array(marks(block, batch.column(place).fill_null(""))))
+
+            return mapped(docs, run)
+        return docs
+    digest = F.sha2(text_of(text_column).cast("binary"), 256)
+    rows = docs.select(digest.alias("digest"), text_of(text_column).alias("text"))
+
+    def search(index: Broadcast) -> DataFrame:
         @lean
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = Index(*index.value)
             for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                for first, texts in _in_steps(batch.column(place).fill_null("")):
-                    for t, *_ in find(block, texts):
-                        keep[first + t] = False
-                yield batch.filter(pa.array(keep))
-        docs = mapped(docs, run)
-    return docs
+                yield batch.select(["digest"]).filter(pa.array(~marks(block, batch.column(1))))
+
+        return rows.mapInArrow(run, "digest string")
+
+    found = _by_block(blocks, indexes, search)
+    if found is None:
+        return docs
+    found = stored(found.distinct(), "contaminated")
+    found = F.broadcast(found) if fits_broadcast(found, BROADCAST_ROWS) else found
+    return carried(docs, digest.alias("digest")).join(found, "digest", "left_anti").select("row.*")
