@@ -1,8 +1,9 @@
 """Toxicity scores by weak supervision.
 
 1. Lexicons: a short list of common insults, and what a bounded sample of labelled training rows
-   shows: word beginnings and whole words that occur in far more toxic documents than chance
-   allows. These entries are dealt to `LEXICONS` lexicon voters in order of strength; pattern
+   shows: word beginnings and whole words (of unspaced scripts and very long words, character n-grams
+   at all positions) that occur in far more toxic documents than chance allows. Words end at any mark that is
+   no letter or digit, also beyond ASCII. These entries are dealt to `LEXICONS` lexicon voters in order of strength; pattern
    voters look at form.
 2. Every document gets its votes. A generative model (a toxic and a clean class, in each of which a
    voter fires with its own probability) is fitted to the counts of all vote patterns of the
@@ -22,6 +23,7 @@ scored whole. Other columns of the documents are kept by `reject` and not used.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,16 +33,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.tables import lean, mapped, ranges, steps, stored, text_of, utf8
+from tidegauge.llm.tables import lean, mapped, ranges, sampled, steps, stored, text_of, utf8
 
 LABEL_SAMPLE = 20_000
 FIT_SAMPLE = 20_000
+# The entries that are kept, the strongest ones: a bound of the model's size.
 ENTRIES = 256
 LEXICONS = 12
 PATTERNS = 2
 VOTERS = LEXICONS + PATTERNS
 PREFIXES = (3, 4, 5, 6, 7, 8)
+# Words of more letters, and runs in scripts without spaces, are seen by n-grams of these lengths.
 MAX_WORD = 40
+LONG_GRAMS = (5,)
+UNSPACED_GRAMS = (2, 3)
 # Bytes of text that are worked on at a time.
 STEP_BYTES = 1 << 20
 
@@ -52,6 +58,10 @@ imbécile crétin abruti connard ordure
 idiota imbécil estúpido escoria basura
 """.split()
 
+# Letters of scripts that are written without spaces.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
+_LETTERS = re.compile(r"[^\W_]+")
+
 _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
@@ -80,11 +90,17 @@ def word_table(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
 
 
 def entries_of(word: bytes) -> list[str]:
-    """What a word may match: its beginnings, and itself with an end mark."""
-    text = word[:4 * MAX_WORD].decode("utf-8", "ignore")
-    if len(text) > MAX_WORD:
-        return []
-    return [text[:n] for n in PREFIXES if n <= len(text)] + [text + "$"]
+    """What a run of word bytes may match: the beginnings of its words, and each word with an end mark; of
+    long or unspaced ones the n-grams at all positions, with a mark before them."""
+    out: list[str] = []
+    for text in _LETTERS.findall(word.decode("utf-8", "ignore")):
+        lengths = UNSPACED_GRAMS if _UNSPACED.search(text) else LONG_GRAMS if len(text) > MAX_WORD else None
+        if lengths is None:
+            out += [text[:n] for n in PREFIXES if n <= len(text)]
+            out.append(text + "$")
+        else:
+            out += {"~" + text[i:i + n] for n in lengths for i in range(len(text) - n + 1)}
+    return out
 
 
 def _per_text(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -258,7 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     known = labels.select(F.col(id_column).alias("doc_id"), F.col(label_column).cast("long").alias("toxic")).where(
         "doc_id is not null and toxic is not null").where(~held_out("doc_id")).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(label_sample)
+    known = sampled(known, ["doc_id"], label_sample, "labels")
     learned = learn_entries(texts.join(F.broadcast(known), "doc_id").select("text", "toxic"))
     listed = [w + "$" for w in INSULTS]
     entries = listed + [e for e in learned if e not in listed]
@@ -282,7 +298,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
         return Model(number_of, np.append(np.zeros(len(entries) + VOTERS), -6.0))
     patterns = np.array([r[0] for r in table])
     posterior = dict(zip(patterns.tolist(), fit_label_model(patterns, np.array([r[1] for r in table], float))))
-    rows = votes.where(~held_out("doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_sample).collect()
+    rows = sampled(votes.where(~held_out("doc_id")), ["doc_id"], fit_sample, "fitted").collect()
     if not rows or not entries:
         return Model(number_of, np.append(np.zeros(len(entries) + VOTERS), -6.0))
     features = [np.array([*r[1], *(len(entries) + i for i in range(VOTERS) if r[2] >> i & 1)], np.int64) for r in rows]
