@@ -28,7 +28,7 @@ clash with any of ours. Scores must fit 64 bits; larger ones stop the job.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -329,11 +329,12 @@ def mine(vectors: DataFrame, anchors: Column, positives: int = POSITIVES, negati
     schema = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
     out = None
     for block in _blocks(codes, dim, size, block_bytes):
-        spread = spark.sparkContext.broadcast(block)
+        # Plain values: workers need not have this package.
+        spread = spark.sparkContext.broadcast(tuple(getattr(block, f.name) for f in fields(block)))
 
         @lean
         def near(batches: Iterator[pa.RecordBatch], spread=spread) -> Iterator[pa.RecordBatch]:
-            a, ids, score = best_positives(spread.value, _rows_of(batches, dim), positives).rows()
+            a, ids, score = best_positives(Block(*spread.value), _rows_of(batches, dim), positives).rows()
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(ids), pa.array(score)], names=["a", "id", "score"])
 
         found = _best_of(codes.select(*_USED).mapInArrow(near, "a long, id long, score long"), ["a"], positives)
@@ -346,7 +347,7 @@ def mine(vectors: DataFrame, anchors: Column, positives: int = POSITIVES, negati
 
         @lean
         def far(batches: Iterator[pa.RecordBatch], spread=spread, asked=asked) -> Iterator[pa.RecordBatch]:
-            p, ids, score = best_negatives(spread.value, _rows_of(batches, dim), *asked.value, negatives, band).rows()
+            p, ids, score = best_negatives(Block(*spread.value), _rows_of(batches, dim), *asked.value, negatives, band).rows()
             yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(ids), pa.array(score)], names=["p", "id", "score"])
 
         if not pairs:
