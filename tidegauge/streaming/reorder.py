@@ -8,8 +8,9 @@ topics they came by. Rows that come later still are given to the processor at on
 Spark where its watermark had passed them a micro-batch before (numRowsDroppedByWatermark in the progress).
 
 Rows without an event time go to the processor at once: in the batch forms they come first. State per key is
-the rows of the last `delay_ms` and of one slot, as one Arrow block per micro-batch and slot. They are
-written once and read once. Processors that wait here may not set timers of their own.
+the rows of the last `delay_ms` and of one slot, as one Arrow block per micro-batch, and one timer. What
+still waits when a slot is done is written again as one block. Processors that wait here may not set
+timers of their own.
 """
 
 from __future__ import annotations
@@ -48,8 +49,18 @@ class InOrder(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.inner.init(handle)
-        self.waiting = handle.getMapState("waiting", "slot bigint, part bigint", "block binary")
-        self.parts = handle.getValueState("parts", "n bigint")
+        self.waiting = handle.getListState("waiting", "block binary")
+        self.timer = handle.getValueState("timer", "at bigint")
+
+    def _ends(self, rows: pd.DataFrame) -> pd.Series:
+        """When the slots of the rows end, in milliseconds."""
+        return (rows[self.time].astype("datetime64[ms]").astype("int64") // self.slot_ms + 1) * self.slot_ms
+
+    def _wake(self, at: int) -> None:
+        # One timer per key, for the first slot that ends.
+        if not self.timer.exists() or at < self.timer.get()[0]:
+            self.timer.update((at,))
+            self.handle.registerTimer(at)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
@@ -57,25 +68,25 @@ class InOrder(StatefulProcessor):
         if untimed.any():
             yield from self.inner.handleInputRows(key, iter([batch[untimed]]), timerValues)
             batch = batch[~untimed]
-        if not len(batch):
-            return
-        part = self.parts.get()[0] + 1 if self.parts.exists() else 0
-        self.parts.update((part,))
-        slots = batch[self.time].astype("datetime64[ms]").astype("int64") // self.slot_ms
-        for slot, own in batch.groupby(slots):
-            self.waiting.updateValue((int(slot), part), (to_block(own),))
-            self.handle.registerTimer((int(slot) + 1) * self.slot_ms)
+        if len(batch):
+            self.waiting.appendValue((to_block(batch),))
+            self._wake(int(self._ends(batch).min()))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # The first timer of a key takes all finished slots; the others find none.
-        passed = timerValues.getCurrentWatermarkInMs()
-        ready = sorted(tuple(k) for k in self.waiting.keys() if (k[0] + 1) * self.slot_ms <= passed)
-        if not ready:
+        blocks = [of_block(b[0]) for b in self.waiting.get()]
+        if not blocks:
             return
-        blocks = [of_block(self.waiting.getValue(k)[0]) for k in ready]
-        for k in ready:
-            self.waiting.removeKey(k)
-        yield from self.inner.handleInputRows(key, iter(blocks), timerValues)
+        rows = pd.concat(blocks, ignore_index=True)
+        ends = self._ends(rows)
+        ready = ends <= timerValues.getCurrentWatermarkInMs()
+        self.timer.clear()
+        if ready.all():
+            self.waiting.clear()
+        else:
+            self.waiting.put([(to_block(rows[~ready]),)])
+            self._wake(int(ends[~ready].min()))
+        if ready.any():
+            yield from self.inner.handleInputRows(key, iter([rows[ready]]), timerValues)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         self.inner.handleInitialState(key, initialState, timerValues)
