@@ -48,7 +48,7 @@ MAX_WORD = 40
 LONG_GRAMS = (5,)
 UNSPACED_GRAMS = (2, 3)
 # Bytes of text that are worked on at a time.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
 
 # Common insults, by language; whole words.
 INSULTS = """
