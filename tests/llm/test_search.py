@@ -262,6 +262,31 @@ def test_label_model_without_labels():
     assert ((posterior > 0.5) == truth).mean() > 0.98
 
 
+def test_toxic_kinds_with_one_word(spark):
+    """Toxic texts of one kind fire many voters, those of three others have one word of their own; weak words and
+    form marks fire in clean texts too."""
+    rng = np.random.default_rng(4)
+    rows, labels, truth = [], [], {}
+    for d in range(4000):
+        words = [f"word{rng.integers(400)}" for _ in range(40)]
+        truth[d] = toxic = int(d % 10 == 0)
+        if toxic:
+            words += list(rng.choice(toxicity.INSULTS[:12], 7, replace=False)) if d % 20 else [["vlorg", "krempt", "zhosk"][d // 20 % 3]]
+        text = " ".join(words + (["weak"] if rng.random() < (0.3 if toxic else 0.02) else []))
+        rows.append((d, text.upper() + "!!!!!!!!" if rng.random() < 0.1 else text))
+        if d % 7 < 5:
+            labels.append((d, toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    found = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect() if r.held_out}
+    rare = [d for d in found if d % 20 == 0]
+    assert len(rare) > 20 and sum(found[d] for d in rare) > 0.95 * len(rare)
+    assert sum(found[d] for d in found if truth[d]) > 0.98 * sum(truth[d] for d in found)
+    assert sum(found[d] for d in found if not truth[d]) <= 0.005 * len(found)
+    left = {r.doc_id for r in toxicity.reject(docs, model).collect()}
+    assert all((d in left) != bool(p) for d, p in found.items())
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (1, None), (4, 0), (None, 1)], "doc_id long, toxic int")
     model = toxicity.fit(odd, labels)

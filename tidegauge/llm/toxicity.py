@@ -3,12 +3,15 @@
 1. Lexicons: a short list of common insults, and what a bounded sample of labelled training rows
    shows: word beginnings and whole words (of unspaced scripts and very long words, character n-grams
    at all positions) that occur in far more toxic documents than chance allows. Words end at any mark that is
-   no letter or digit, also beyond ASCII. These entries are dealt to `LEXICONS` lexicon voters in order of strength; pattern
-   voters look at form.
-2. Every document gets its votes. A generative model (a toxic and a clean class, in each of which a
-   voter fires with its own probability) is fitted to the counts of all vote patterns of the
-   corpus by expectation maximisation, without labels. Correlations of voters within the classes
-   discount voters that repeat each other. The patterns are at most 2^voters rows.
+   no letter or digit, also beyond ASCII. These entries are dealt to `LEXICONS` lexicon voters in order of their share of
+   toxic documents, the surest to the first, so that no voter mixes sure entries with weak ones; pattern voters look at form.
+2. Every document gets its votes. A generative model is fitted to the counts of all vote patterns of the
+   corpus by expectation maximisation. Each class, toxic and clean, is a mixture of kinds, and in each kind a voter fires
+   with its own probability: toxic texts of one language fire other voters than those of another, and the silence of
+   voters that no text of a kind fires is no evidence there. Training rows with a label count for their class, all others
+   by their posterior, and together at most as much as the labelled ones. Where labels gave no entries, each class is one kind, nothing
+   is taken from labels, and correlations of voters within the classes discount voters that repeat each other. The patterns are at
+   most 2^voters rows.
 3. A logistic regression on the entries and votes is trained on the model's posterior labels of a
    bounded sample of training rows, and scores every document.
 
@@ -39,6 +42,8 @@ LABEL_SAMPLE = 20_000
 FIT_SAMPLE = 20_000
 # The entries that are kept, the strongest ones: a bound of the model's size.
 ENTRIES = 256
+# Clean documents that an entry is thought to be in besides those of the sample.
+DOUBT = 5
 LEXICONS = 12
 PATTERNS = 2
 VOTERS = LEXICONS + PATTERNS
@@ -111,8 +116,9 @@ def _per_text(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
     return key // (int(values.max()) + 1), key % (int(values.max()) + 1)
 
 
-def learn_entries(sample: DataFrame) -> list[str]:
-    """The entries, strongest first, from labelled texts (text, toxic)."""
+def learn_entries(sample: DataFrame, listed: list[str]) -> tuple[list[str], bool]:
+    """The listed entries and those of labelled texts (text, toxic), those with the largest share of toxic texts
+    first, and whether any were learned."""
     @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, j - i) for b in batches for i, j in steps(utf8(b.column(0))[1], STEP_BYTES)):
@@ -134,7 +140,7 @@ def learn_entries(sample: DataFrame) -> list[str]:
     sample = stored(sample, "labelled")
     rows, positives = sample.agg(F.count("*"), F.sum("toxic")).first()
     if not positives or positives == rows:
-        return []
+        return listed, False
     counts = sample.mapInArrow(count, "entry string, hits long, docs long").groupBy("entry").agg(
         F.sum("hits").alias("hits"), F.sum("docs").alias("docs"))
     base = F.lit(positives / rows)
@@ -152,7 +158,10 @@ def learn_entries(sample: DataFrame) -> list[str]:
     for r in best:
         if len(chosen) < ENTRIES and not any(r[0].startswith(c) or c.startswith(r[0]) for c in chosen):
             chosen.append(r[0])
-    return chosen
+    # The listed ones that show nothing come last, in their order.
+    known = {r[0]: r for r in [*best, *counts.where(F.col("entry").isin(listed)).collect()]}
+    share = {e: r["hits"] / (r["docs"] + DOUBT) for e, r in known.items()}
+    return sorted(listed + [e for e in chosen if e not in listed], key=lambda e: -share.get(e, 0.0)), bool(chosen)
 
 
 @dataclass
@@ -178,7 +187,7 @@ def vote(texts: pa.Array, number_of: dict[str, int]) -> Votes:
     many = sizes[number] if len(words) else np.zeros(0, np.int64)
     row, entry = _per_text(np.repeat(row, many), flat[ranges(first[number], many)] if len(many) else flat[:0])
     votes = np.zeros(len(texts), np.int64)
-    np.bitwise_or.at(votes, row, np.int64(1) << (entry % LEXICONS))
+    np.bitwise_or.at(votes, row, np.int64(1) << (entry * LEXICONS // max(1, len(number_of))))
     # Form: many capitals, many exclamation marks.
     data, at = utf8(texts)
     size = np.maximum(1, np.diff(at))
@@ -188,9 +197,40 @@ def vote(texts: pa.Array, number_of: dict[str, int]) -> Votes:
     return Votes(row, entry, votes)
 
 
-def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> np.ndarray:
-    """The posterior probability of the toxic class for each vote pattern."""
+def fit_kinds(fires: np.ndarray, counts: np.ndarray, known: np.ndarray, rounds: int = 200) -> np.ndarray:
+    """The posterior probability of the toxic class for each vote pattern; `known` has the clean and the toxic rows
+    among the counts. A kind of each class starts at each voter, from the rows that fire it, and one from those
+    without votes."""
+    free = np.maximum(counts - known.sum(axis=1), 0)
+    free *= min(1.0, known.sum() / max(1.0, free.sum()))
+    start = np.column_stack([fires, ~fires.any(axis=1)])
+    kinds = [c[:, None] * start / start.sum(axis=1, keepdims=True) for c in known.T]
+    overall = counts @ fires / counts.sum()
+    posterior = np.zeros(len(counts))
+    for _ in range(rounds):
+        total = sum(k.sum() for k in kinds)
+        joint = []
+        for k in kinds:
+            size = k.sum(axis=0)
+            p = np.clip((k.T @ fires + overall) / (size[:, None] + 1), 1e-6, 1 - 1e-6)
+            joint.append(np.log(np.maximum(size, 1e-9) / total) + fires @ np.log(p).T + (1 - fires) @ np.log(1 - p).T)
+        clean, toxic = (np.logaddexp.reduce(j, axis=1) for j in joint)
+        new = 1 / (1 + np.exp(-np.clip(toxic - clean, -50, 50)))
+        rows = known + np.column_stack([free * (1 - new), free * new])
+        kinds = [r[:, None] * np.exp(j - t[:, None]) for r, j, t in zip(rows.T, joint, (clean, toxic))]
+        if np.abs(new - posterior).max() < 1e-6:
+            break
+        posterior = new
+    return new
+
+
+def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200,
+                    known: np.ndarray | None = None) -> np.ndarray:
+    """The posterior probability of the toxic class for each vote pattern. `known` may have the labelled rows of
+    each pattern, clean and toxic, which are among its count."""
     fires = (patterns[:, None] >> np.arange(VOTERS) & 1).astype(float)
+    if known is not None and known.sum(axis=0).all():
+        return fit_kinds(fires, counts, known, rounds)
     weight = counts / counts.sum()
     # A start on the side of the lexicons: they fire more in the toxic class.
     lexicon = np.arange(VOTERS) < LEXICONS
@@ -274,10 +314,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     known = labels.select(F.col(id_column).alias("doc_id"), F.col(label_column).cast("long").alias("toxic")).where(
         "doc_id is not null and toxic is not null").where(~held_out("doc_id")).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"))
-    known = sampled(known, ["doc_id"], label_sample, "labels")
-    learned = learn_entries(texts.join(F.broadcast(known), "doc_id").select("text", "toxic"))
-    listed = [w + "$" for w in INSULTS]
-    entries = listed + [e for e in learned if e not in listed]
+    chosen = sampled(known, ["doc_id"], label_sample, "labels")
+    entries, learned = learn_entries(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), [w + "$" for w in INSULTS])
     number_of = {e: i for i, e in enumerate(entries)}
     spread = spark.sparkContext.broadcast(number_of)
 
@@ -292,12 +330,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
 
     kind = dict(texts.dtypes)["doc_id"]
     votes = stored(texts.mapInArrow(run, f"doc_id {kind}, entries array<int>, votes long"), "votes")
-    # At most 2^VOTERS rows, whatever the corpus.
-    table = votes.groupBy("votes").count().collect()
+    # At most 2^VOTERS rows, whatever the corpus. A label has one row, so no row is counted twice.
+    classes = votes.select("doc_id", "votes").join(known, "doc_id", "left")
+    table = classes.groupBy("votes").agg(F.count("*"), F.count_if(F.col("toxic") <= 0), F.count_if(F.col("toxic") > 0)).collect()
     if not table:
         return Model(number_of, np.append(np.zeros(len(entries) + VOTERS), -6.0))
     patterns = np.array([r[0] for r in table])
-    posterior = dict(zip(patterns.tolist(), fit_label_model(patterns, np.array([r[1] for r in table], float))))
+    counts, labelled = np.array([r[1] for r in table], float), np.array([r[2:] for r in table], float)
+    posterior = dict(zip(patterns.tolist(), fit_label_model(patterns, counts, known=labelled if learned else None)))
     rows = sampled(votes.where(~held_out("doc_id")), ["doc_id"], fit_sample, "fitted").collect()
     if not rows or not entries:
         return Model(number_of, np.append(np.zeros(len(entries) + VOTERS), -6.0))
