@@ -8,6 +8,7 @@ import pytest
 
 import corpus_pipeline
 from conftest import SF
+from tidegauge.llm import simhash
 
 
 def shingles(text, k=5):
@@ -64,3 +65,56 @@ def test_stage_equals_brute_force(spark, docs, texts, partitions):
     df = spark.createDataFrame(list(cases.items()), schema).repartition(partitions)
     got = [r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, SF).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_fingerprint_trees_of_groups(spark):
+    """A forest per group: links within the radius only, and the components of all such links."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for h in range(12):
+        prints = list(rng.integers(-(1 << 63), 1 << 63, 4))
+        for _ in range(20):
+            flips = sum(1 << int(b) for b in rng.choice(63, rng.integers(0, 14), replace=False))
+            prints.append(prints[rng.integers(len(prints))] ^ flips)
+        rows += [(h, 1000 * h + int(v), int(p)) for v, p in zip(rng.permutation(len(prints)), prints)]
+    got = simhash.group_links(spark.createDataFrame(rows + rows[:5], "h long, v long, print long"), 8).collect()
+    prints = {v: p & (1 << 64) - 1 for _, v, p in rows}
+    assert all(a < b and a // 1000 == b // 1000 and (prints[a] ^ prints[b]).bit_count() <= 8 for a, b in got)
+
+    def components(pairs):
+        root = {v: v for v in prints}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in pairs:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+        return {v: find(v) for v in prints}
+
+    near = [(a, b) for a, b in combinations(prints, 2) if a // 1000 == b // 1000 and (prints[a] ^ prints[b]).bit_count() <= 8]
+    assert len(near) > 50 and components(got) == components(near)
+
+
+def test_stage_looks_in_fingerprint_trees(spark, texts, monkeypatch):
+    """The trees name nearly all near copies; what the radius leaves out is found all the same."""
+    rng = np.random.default_rng(9)
+    sources = [t for t in texts.values() if 80 <= len(t.split()) <= 1500][:40]
+    cases = dict(enumerate(dict.fromkeys(sources)))
+    for k, text in list(cases.items()):
+        cases[1000 + k] = edited(rng, text, rng.uniform(0.005, 0.015))
+    want, near = survivors(cases)
+    df = spark.createDataFrame(list(cases.items()), "doc_id long, text string")
+    named = []
+    plain = simhash.group_links
+
+    def spied(groups, radius):
+        named.append(plain(groups, radius).distinct().count())
+        return plain(groups, radius)
+
+    monkeypatch.setattr(simhash, "group_links", spied)
+    assert {r.doc_id for r in simhash.keep_one(df).collect()} == want
+    assert near > 30 and named[0] >= 0.9 * near
+    assert {r.doc_id for r in simhash.keep_one(df, radius=0).collect()} == want
+    assert named[1] < named[0]

@@ -14,6 +14,11 @@ trees together grow with the corpus, so a broadcast would have no bound.
 In a shard, links are reduced to one per fingerprint that joins another group (a forest), so
 large groups give as many rows as they have members. Equal texts share one fingerprint row.
 
+`keep_one` links texts by the Jaccard similarity of their shingles. Texts at a similarity of 0.8 differ in about ten bits
+of 64, more than blocks of bits can bound, so its shards are the groups of texts that share a shingle (similar.py), in
+which all similar texts meet: a tree per group is searched with a radius of `KEEP_RADIUS` bits, what it finds is compared by whole
+shingle sets, and pairs that lie further apart in bits, or in groups of over `TREE_LIMIT`, are searched exactly.
+
 Nulls: a null text is an empty one, with fingerprint zero, which links like any other. A null id
 takes part and is never the smallest unless a component has no other. Repeated rows are in
 one component. An empty table gives no rows. Texts are read whole.
@@ -37,6 +42,9 @@ from tidegauge.llm.tables import Folders, carried, lean, stored, text_of
 from tidegauge.session import fits_broadcast
 
 SHARD_LIMIT = 512
+# Bits within which near copies are looked for in a group, and the members of a group that has a tree.
+KEEP_RADIUS = 16
+TREE_LIMIT = 128
 # Rows that a join may broadcast, if their bytes allow it.
 BROADCAST_ROWS = 1_000_000
 
@@ -134,7 +142,7 @@ def forest(values: list[int], radius: int) -> list[tuple[int, int]]:
         return i
 
     for i, value in enumerate(values):
-        for j in tree.add(value & 0xFFFF_FFFF_FFFF_FFFF, radius):
+        for j in sorted(tree.add(value & 0xFFFF_FFFF_FFFF_FFFF, radius)):
             a, b = root(i), root(j)
             if a != b:
                 parent[max(a, b)] = min(a, b)
@@ -189,6 +197,29 @@ def links(prints: DataFrame, radius: int = 2, shard_limit: int = SHARD_LIMIT) ->
     return small.select("vs").unionByName(inner.select("vs")).mapInArrow(run, "a long, b long")
 
 
+def group_links(members: DataFrame, radius: int = KEEP_RADIUS) -> DataFrame:
+    """(a, b), a < b, of a forest in each group whose links are at most `radius` bits long. members: h (the group), v
+    (a node), print (its fingerprint, signed). A group's tree is in one row."""
+    @lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            offsets = batch.column(0).offsets.to_pylist()
+            nodes, prints = (batch.column(c).values.to_pylist() for c in range(2))
+            for i, j in zip(offsets, offsets[1:]):
+                first: dict[int, int] = {}
+                for node, value in zip(nodes[i:j], prints[i:j]):
+                    if first.setdefault(value, node) != node:
+                        found.append((first[value], node))
+                # Values are in the order of their nodes, so links go to smaller ones.
+                found += [(first[b], first[a]) for a, b in forest(list(first), radius)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()),
+                                              pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
+
+    groups = members.groupBy("h").agg(F.sort_array(F.collect_set(F.struct("v", "print"))).alias("m")).where(F.size("m") > 1)
+    return groups.select("m.v", "m.print").mapInArrow(run, "a long, b long")
+
+
 def components(docs: DataFrame, words: int = 3, radius: int = 2, id_column: str = "doc_id",
                text_column: str = "text", shard_limit: int = SHARD_LIMIT) -> DataFrame:
     """doc_id, fingerprint (signed), component_id (the smallest doc_id reachable) of every row."""
@@ -205,21 +236,21 @@ def components(docs: DataFrame, words: int = 3, radius: int = 2, id_column: str
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_column: str = "doc_id",
-             text_column: str = "text") -> DataFrame:
+             text_column: str = "text", radius: int = KEEP_RADIUS) -> DataFrame:
     """The documents with one row of each component of texts whose `words`-word shingles have a
     Jaccard similarity of at least `similarity`: the one with the smallest id (a null id is the
-    last), then the smallest text digest. All columns are kept. Pairs are exact, so fingerprints
-    are not used: texts at 0.8 differ by about ten bits, more than shards of 64 bits can bound."""
+    last), then the smallest text digest. All columns are kept. Fingerprint trees find the pairs within
+    `radius` bits; the radius has no influence on the result, only on how much is left to the exact search."""
     bound = Fraction(str(similarity))
     folders = Folders(docs.sparkSession)
     digest = F.md5(text_of(text_column).cast("binary")).alias("digest")
     rows = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text"), digest)
     texts = rows
-    rows = folders.store(sketches(rows, words, bound, ["doc_id", "digest"]), "sketches")
+    rows = folders.store(sketches(rows, words, bound, ["doc_id", "digest"], majority=majority), "sketches")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("digest").alias("d"))
     members = folders.store(rows.groupBy("v").agg(F.min(order).alias("first")), "members")
     roots = similar_components(rows, members.select("v", "first.id", F.col("first.d").alias("digest")), texts, words, bound,
-                               folders)
+                               folders, lambda groups: group_links(groups, radius), TREE_LIMIT)
     first = members.join(roots, F.col("v") == F.col("node"), "left").groupBy(F.coalesce("root", "v").alias("root")).agg(
         F.min("first").alias("first")).select(F.col("first.id").alias("_id"), F.col("first.d").alias("_digest"))
 
