@@ -5,10 +5,11 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF
-from tidegauge.llm import simhash
+from tidegauge.llm import similar, simhash
 
 
 def shingles(text, k=5):
@@ -118,3 +119,23 @@ def test_stage_looks_in_fingerprint_trees(spark, texts, monkeypatch):
     assert near > 30 and named[0] >= 0.9 * near
     assert {r.doc_id for r in simhash.keep_one(df, radius=0).collect()} == want
     assert named[1] < named[0]
+
+
+@pytest.mark.parametrize("most", [None, -1])  # no table has -1 bytes
+def test_the_driver_gets_no_sketches(spark, texts, monkeypatch, most):
+    """Broadcasts pass the driver: none is of sketches, which grow with the corpus, and with no bytes allowed there is none."""
+    rng = np.random.default_rng(10)
+    sources = [t for t in texts.values() if 80 <= len(t.split()) <= 1500][:30]
+    cases = dict(enumerate(dict.fromkeys(sources)))
+    for k, text in list(cases.items()):
+        cases[1000 + k] = edited(rng, text, rng.uniform(0.005, 0.03))
+    want, near = survivors(cases)
+    sent, plain = [], F.broadcast
+    monkeypatch.setattr(F, "broadcast", lambda df: sent.append(df.columns) or plain(df))
+    if most is not None:
+        monkeypatch.setattr(similar, "BROADCAST_BYTES", most)
+        monkeypatch.setattr(simhash, "BROADCAST_BYTES", most)
+    df = spark.createDataFrame([*cases.items(), (0, cases[0]), (2000, cases[1]), (None, None)], "doc_id long, text string")
+    got = [r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, SF).collect()]
+    assert near > 10 and sorted(got, key=lambda x: (x is None, x)) == [*sorted(want), None]
+    assert not any("parity" in columns for columns in sent) and bool(sent) == (most is None)

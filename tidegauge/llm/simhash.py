@@ -45,8 +45,8 @@ SHARD_LIMIT = 512
 # Bits within which near copies are looked for in a group, and the members of a group that has a tree.
 KEEP_RADIUS = 16
 TREE_LIMIT = 128
-# Rows that a join may broadcast, if their bytes allow it.
-BROADCAST_ROWS = 1_000_000
+# Rows and bytes that a join may broadcast; a hash table on the driver takes three to five times these bytes.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 8 << 20
 
 # Each bit of a byte in a lane of its own.
 _LANES = (np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
@@ -265,7 +265,7 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_column
     lost = stored(named.join(kept, same(kept, named), "left_anti"), "lost")
     repeated = stored(kept.where("n > 1").select(*ends), "repeated")
     folders.close()
-    lost, repeated = (F.broadcast(x) if fits_broadcast(x, BROADCAST_ROWS) else x for x in (lost, repeated))
+    lost, repeated = (F.broadcast(x) if fits_broadcast(x, BROADCAST_ROWS, BROADCAST_BYTES) else x for x in (lost, repeated))
     all_rows = carried(docs, F.col(id_column).alias("doc_id"), digest)
     left = all_rows.join(lost, same(all_rows, lost), "left_anti")
     once = left.join(repeated, same(left, repeated), "left_anti")
