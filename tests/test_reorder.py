@@ -9,9 +9,12 @@ import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
+from tidegauge import plans
 from tidegauge.operators import dispatch, ordered, scoring
 from tidegauge.plans import model_specs as specs
+from tidegauge.plans import streams as replays
 from tidegauge.sources import streams
 from tidegauge.streaming import model_join, model_stream, online, reorder, runner, voting
 
@@ -71,6 +74,31 @@ def test_rows_without_a_time_and_rows_too_late(spark, tmp_path):
     assert {0, 1, 2, 4} <= {r.seq for r in got.collect()} <= {0, 1, 2, 3, 4}
 
 
+def bunched_events(spark, path, n=1_500):
+    """Events of few keys, most of them in the first two hours of a month."""
+    rng = random.Random(6)
+    seconds = sorted([rng.uniform(0, 7_200) for _ in range(n * 9 // 10)] + [rng.uniform(0, 2_500_000) for _ in range(n // 10)])
+    rows = [(i, pd.Timestamp(1_704_067_200 + t, unit="s").floor("us").to_pydatetime(), rng.choice([1, 1, 1, 2, 10, 15]), "view",
+             round(rng.uniform(0, 200), 2), "") for i, t in enumerate(seconds)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+                          ).write.parquet(f"{path}/events.parquet")
+    return n
+
+
+@pytest.mark.parametrize("name,batch", [("stream_late_daily", "daily_change")])
+def test_late_replays_bound_what_waits_in_state(spark, tmp_path, monkeypatch, name, batch):
+    """Whatever the size of the table, a micro-batch has a bounded number of rows; the rows are those of the batch form."""
+    n, queries = bunched_events(spark, str(tmp_path)), plans.all_queries()
+    started, plain = [], DataStreamWriter.start
+    monkeypatch.setattr(DataStreamWriter, "start", lambda self, *a, **k: started.append(plain(self, *a, **k)) or started[-1])
+    monkeypatch.setattr(replays, "_WAITING", 400, raising=False)
+    got = queries[name](spark, str(tmp_path))
+    sizes = [p.numInputRows for p in started[0].recentProgress]
+    assert sum(sizes) == n + 1 and max(sizes) <= 600
+    want = queries[batch](spark, str(tmp_path)).select(*got.columns)
+    assert want.count() > 50 and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 MODELS = "data_type string, seq bigint, model string, model_type string, data binary, width int, mean double, std double"
 SAMPLES = "data_type string, seq bigint, utilization double, class int"
 
