@@ -85,7 +85,7 @@ def bunched_events(spark, path, n=1_500):
     return n
 
 
-@pytest.mark.parametrize("name,batch", [("stream_late_daily", "daily_change")])
+@pytest.mark.parametrize("name,batch", [("stream_late_daily", "daily_change"), ("stream_late_slide", "slide_vec")])
 def test_late_replays_bound_what_waits_in_state(spark, tmp_path, monkeypatch, name, batch):
     """Whatever the size of the table, a micro-batch has a bounded number of rows; the rows are those of the batch form."""
     n, queries = bunched_events(spark, str(tmp_path)), plans.all_queries()
